@@ -192,6 +192,11 @@ def _rolled_up(t: Tables, exp: Experiment) -> DataFrame:
     return recharge.rolled_up(recharge.recharge(t, exp))
 
 
+def _wins(wide: DataFrame, exp: Experiment, trim: bool = True) -> DataFrame:
+    """The columns of the evaluated report that have a closed form."""
+    return retention.daily_report(wide, exp, trim).select("dt", "variation", "control_users", "exp_users", "uplift", "chance_to_win")
+
+
 new, active = retention.new_user_retention, retention.active_user_retention
 IN_PHASE = (PHASE.phase_start, PHASE.phase_end)
 ONE_DAY = windows.Days(date(2024, 1, 15), date(2024, 1, 15))
@@ -222,6 +227,8 @@ def queries() -> dict[str, Query]:
         "r5_retention_rates": lambda spark, folder: rounded(_new_rates(spark, folder)),
         "r6_new_user_report": _after(new, retention.daily_report),
         "r6_new_user_report_rates": _after(new, retention.daily_report, evaluate=False),
+        "r6_new_user_report_wins": _after(new, _wins),
+        "r7_active_user_report_wins": _after(active, _wins, trim=False),
         "r7_active_user_report": _after(active, retention.daily_report, trim=False),
         "r7_active_user_report_rates": _after(active, retention.daily_report, trim=False, evaluate=False),
         "r8_new_user_overall": _after(new, retention.overall_report),

@@ -42,6 +42,20 @@ def rounded(sql: str, columns: str, digits: int = 6) -> str:
     return f"SELECT * REPLACE ({replaced}) FROM ({sql})"
 
 
+def half_up(sql: str) -> str:
+    """Round as decimals: on doubles DuckDB scales first, which turns 163.045 into 163.04."""
+    start = sql.find("ROUND(")
+    if start < 0:
+        return sql
+    depth, at, comma = 1, start + len("ROUND("), 0
+    while depth:
+        depth += {"(": 1, ")": -1}.get(sql[at], 0)
+        comma = at if sql[at] == "," and depth == 1 else comma
+        at += 1
+    value, digits = half_up(sql[start + len("ROUND("):comma]), sql[comma + 1:at - 1].strip()
+    return f"{sql[:start]}CAST(round(CAST({value} AS DECIMAL(38, 12)), {digits}) AS DOUBLE){half_up(sql[at:])}"
+
+
 def _assignments() -> dict[str, str]:
     def query(text: str, columns: str) -> str:
         return with_views(f"SELECT {columns} FROM ({text})")
@@ -203,6 +217,13 @@ def _retention() -> dict[str, str]:
     for name, parts, trim in (("r6_new_user_report", R1_PARTS, True), ("r7_active_user_report", R2_PARTS, False)):
         body, more = daily(trim)
         result[f"{name}_rates"] = with_views(body, **parts, **more)
+        sides = """SELECT e.dt, e.variation, c.users AS cu, c.retained AS cr, e.users AS eu, e.retained AS er
+            FROM kept e LEFT JOIN kept c ON c.dt = e.dt AND c.variation = 0 AND c.day = 1
+            WHERE e.variation <> 0 AND e.day = 1"""
+        wins = f"""SELECT dt, variation, cu AS control_users, eu AS exp_users,
+            ROUND(((er + 1) / (eu + 2) - (cr + 1) / (cu + 2)) / ((cr + 1) / (cu + 2)), 6) AS uplift,
+            ROUND({WIN}, 6) AS chance_to_win FROM sides"""
+        result[f"{name}_wins"] = with_views(wins, **parts, **more, sides=sides)
     for name, parts, cutoff in (("r8_new_user_overall", R1_PARTS, True), ("r9_active_user_overall", R2_PARTS, True),
                                 ("r9_active_user_overall_uncut", R2_PARTS, False)):
         body, more = overall(cutoff)
@@ -689,4 +710,4 @@ def _publication(found: dict[str, str]) -> dict[str, str]:
 def oracle_sql() -> dict[str, str]:
     found = {**_assignments(), **_windows(), **_retention(), **_business(), **_subscription(), **_phase_sums(),
              **_engagement(), **_chat(), **_statistics(), **_catalog()}
-    return {**found, **_publication(found)}
+    return {name: half_up(text) for name, text in {**found, **_publication(found)}.items()}

@@ -9,10 +9,18 @@ def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def half_up(value: Column | str, digits: int) -> Column:
+    """Round a double as the decimal number it stands for.
+
+    149.03445 / 3 is 49.678149999999995 as a double, but has to round up to 49.6782.
+    """
+    return F.round(_column(value).cast("decimal(38,12)"), digits).cast("double")
+
+
 def ratio(numerator: Column | str, denominator: Column | str, digits: int | None = None) -> Column:
     """Quotient as a double, NULL where the denominator is 0 or NULL."""
     value = F.try_divide(_column(numerator).cast("double"), _column(denominator).cast("double"))
-    return value if digits is None else F.round(value, digits)
+    return value if digits is None else half_up(value, digits)
 
 
 def ratio_or_zero(numerator: Column | str, denominator: Column | str, digits: int | None = None) -> Column:

@@ -32,7 +32,9 @@ def assignments(t: Tables, exp: Experiment) -> DataFrame:
 
 
 def first_by(*order: str) -> Column:
-    """Aggregate: the variation of the row that sorts first."""
+    """Aggregate: the variation of the row that sorts first, NULL before all others."""
+    if not order:
+        return F.when(F.count("*") == F.count("variation_id"), F.min("variation_id"))
     return F.min(F.struct(*map(F.expr, order), F.col("variation_id"))).getField("variation_id")
 
 

@@ -60,6 +60,20 @@ def day_spine(groups: DataFrame, days: Days, day: str = "event_date") -> DataFra
     return groups.withColumn(day, F.explode(days.column()))
 
 
+def on_every_day(sums: DataFrame, group: str, days: Days, day: str = "event_date") -> DataFrame:
+    """Each group of ``sums`` on every day, with NULLs where it has no row that day.
+
+    Groups that occur on other days only are kept too. ``sums`` is a finished aggregate: a
+    group has one row per day, so its rows fit one array, and it is computed only once.
+    """
+    values = [c for c in sums.columns if c not in (group, day)]
+    found = F.map_from_entries(F.collect_list(F.when(
+        days.contain(day), F.struct(day, F.struct(*values)))))
+    return sums.groupBy(group).agg(found.alias("_found")).select(
+        group, "_found", F.explode(days.column()).alias(day)).select(
+        day, group, *[F.col("_found")[F.col(day)][name].alias(name) for name in values])
+
+
 def counted_by_entity(rows: DataFrame, by: list[str], entities: dict[str, str], **flags: Column) -> DataFrame:
     """Distinct values of several id columns per group, each also under some conditions.
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from trialmetrics.experiment import Experiment
 from trialmetrics.functions.means import assumed_normal_win
 from trialmetrics.functions.proportions import beta_comparison, relative_uplift
-from trialmetrics.functions.ratios import money, ratio, ratio_or_zero
+from trialmetrics.functions.ratios import half_up, money, ratio, ratio_or_zero
 from trialmetrics.operators import assignment, windows
 from trialmetrics.operators.assignment import labelled_value
 from trialmetrics.operators.events import of, stacked
@@ -32,7 +32,7 @@ def ads(t: Tables, exp: Experiment, date_filter: bool = False) -> DataFrame:
         F.count(F.when(labelled_value("shown") > 0, 1)).alias("ad_exposure_users"),
         F.coalesce(F.sum(labelled_value("shown")), F.lit(0)).alias("ad_exposure_count"))
     revenue = F.coalesce("revenue", F.lit(0.0))
-    ecpm = F.round(F.try_divide(F.col("revenue"), F.col("ad_exposure_count")) * 1000, 4)
+    ecpm = half_up(ratio("revenue", "ad_exposure_count") * 1000, 4)
     return sums.select(
         "variation_id", "total_active_users", revenue.alias("total_ad_revenue"),
         ratio(revenue, "total_active_users", 4).alias("ad_arpu"), "ad_exposure_users",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from trialmetrics.experiment import Experiment
-from trialmetrics.functions.ratios import money, money_of, ratio, total, total_of
+from trialmetrics.functions.ratios import half_up, money, money_of, ratio, total, total_of
 from trialmetrics.operators import assignment, windows
 from trialmetrics.operators.assignment import labelled, labelled_value
 from trialmetrics.operators.events import USER_DAY, new_user_days, of, stacked
@@ -132,7 +132,7 @@ def lifetime_value(t: Tables, exp: Experiment) -> DataFrame:
     sums = per_user.groupBy(*REPORT).agg(
         F.count("*").alias("register_users"), money("revenue_7d").alias("week"), money("revenue_cycle").alias("cycle"))
     return sums.select(
-        *REPORT, "register_users", F.round("week", 2).alias("revenue_7d"), F.round("cycle", 2).alias("revenue_cycle"),
+        *REPORT, "register_users", half_up("week", 2).alias("revenue_7d"), half_up("cycle", 2).alias("revenue_cycle"),
         ratio("week", "register_users", 4).alias("ltv_7d"), ratio("cycle", "register_users", 4).alias("ltv_cycle"))
 
 

@@ -8,10 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trialmetrics.experiment import Experiment
-from trialmetrics.functions.ratios import money, money_of, ratio, ratio_or_zero, total, total_of
+from trialmetrics.functions.ratios import half_up, money, money_of, ratio, ratio_or_zero, total, total_of
 from trialmetrics.operators import assignment, windows
 from trialmetrics.operators.events import (
-    USER_DAY, counted_by_entity, day_spine, distinct_ids, flagged_new, of, stacked)
+    USER_DAY, counted_by_entity, day_spine, distinct_ids, flagged_new, of, on_every_day, stacked)
 from trialmetrics.operators.windows import Days
 from trialmetrics.sources.tables import Tables
 
@@ -41,17 +41,15 @@ def click_rate(t: Tables, exp: Experiment) -> DataFrame:
     days = windows.inner(exp)
     facts = distinct_ids(shown=_on(t["show_card"], days), clicked=_on(t["bot_view"], days)).filter("shown > 0")
     resolved = assignment.resolve(t, exp, "daily_first").withColumnRenamed("variation_id", "variation")
-    sums = flagged_new(resolved.join(facts, USER_DAY), t["first_visit"], days).groupBy(*GROUP).agg(
+    sums = flagged_new(resolved.join(facts, USER_DAY, "left"), t["first_visit"], days).groupBy(*GROUP).agg(
         F.sum("shown").alias("showed_events"), F.sum("clicked").alias("clicked_events"),
         total_of(NEW, "shown").alias("new_showed_events"), total_of(NEW, "clicked").alias("new_clicked_events"))
-    spine = day_spine(resolved.select("variation").distinct(), days)
-    full = spine.join(sums, (sums.event_date == spine.event_date) & sums.variation.eqNullSafe(spine.variation), "left")
 
     def count(name: str) -> Column:
         return F.coalesce(name, F.lit(0).cast("bigint")).alias(name)
 
-    return full.select(
-        spine.event_date, spine.variation, "showed_events", count("clicked_events"),
+    return on_every_day(sums, "variation", days).select(
+        *GROUP, "showed_events", count("clicked_events"),
         ratio("clicked_events", "showed_events", 4).alias("click_ratio"),
         count("new_showed_events"), count("new_clicked_events"),
         ratio("new_clicked_events", "new_showed_events", 4).alias("new_user_click_ratio"))
@@ -150,7 +148,7 @@ def time_spent(t: Tables, exp: Experiment) -> DataFrame:
     per_user = (
         t["session"].filter(days.contain(day) & F.col("user_id").isNotNull())
         .groupBy("user_id", day.alias("event_date"))
-        .agg(F.round(F.sum("duration") / 1000 / 60, 2).alias("minutes"))
+        .agg(half_up(F.sum("duration") / 1000 / 60, 2).alias("minutes"))
     )
     sums = _with_variation(per_user, t, exp, "daily_first", days).groupBy(*GROUP).agg(
         money("minutes").alias("total_time_minutes"), F.count("*").alias("unique_users"),

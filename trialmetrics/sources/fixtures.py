@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trialmetrics.experiment import Experiment
 from trialmetrics.sources.tables import Tables
 
+# Declared, so that opening a table reads no file.
+RAW = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
 PHASE = Experiment("exp_a", "demo", datetime(2024, 1, 2, 6), datetime(2024, 1, 28, 18))
 
 def _nth(divisor: int) -> Column:
@@ -18,8 +24,9 @@ def _nth(divisor: int) -> Column:
 def fixture_tables(spark: SparkSession, folder: str, **options) -> Tables:
     day = F.to_date("ts").alias("event_date")
 
+    @cache
     def raw(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        return spark.read.schema(RAW[name]).parquet(f"{folder}/{name}.parquet")
 
     def events(*kinds: str) -> DataFrame:
         rows = raw("events")
