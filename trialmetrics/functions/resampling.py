@@ -9,9 +9,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-_BLOCK = 256
-# How often a row is drawn is Poisson(1); beyond 20 draws the probability is below 1e-19.
-_POISSON = np.cumsum([exp(-1) / factorial(k) for k in range(21)])
+# Rows at a time, so that a block of draws stays in a core's cache.
+_BLOCK = 8
+# A hash at or above the k-th limit stands for more than k draws of a Poisson(1) variable;
+# more than 20 have a probability below 1e-19.
+_LIMITS = (np.minimum(np.cumsum([exp(-1) / factorial(k) for k in range(21)]), 1 - 2.0**-53) * 2.0**64).astype(np.uint64)
 
 
 def bootstrap_mean_difference(sample: DataFrame, value: str = "user_aov", group: str = "variation_id",
@@ -29,17 +31,14 @@ def bootstrap_mean_difference(sample: DataFrame, value: str = "user_aov", group:
         F.col(value).cast("double").alias("value"))
 
     def weighted_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((2, 2, resamples))
+        sums = np.zeros((4, resamples))
         for batch in batches:
+            keys, values, treated = (batch[c].to_numpy() for c in ("row", "value", "treated"))
+            weights = np.stack([~treated, ~treated * values, treated, treated * values]).astype("float64")
             for start in range(0, len(batch), _BLOCK):
-                block = batch.iloc[start:start + _BLOCK]
-                draws = poisson_draws(block["row"].to_numpy(), resamples, seed)
-                values, treated = block["value"].to_numpy(), block["treated"].to_numpy()
-                for side, mine in enumerate((~treated, treated)):
-                    sums[side, 0] += draws[mine].sum(axis=0)
-                    sums[side, 1] += values[mine] @ draws[mine]
-        yield pd.DataFrame({"resample": np.arange(resamples), "n_a": sums[0, 0], "sum_a": sums[0, 1],
-                            "n_b": sums[1, 0], "sum_b": sums[1, 1]})
+                block = slice(start, start + _BLOCK)
+                sums += weights[:, block] @ poisson_draws(keys[block], resamples, seed)
+        yield pd.DataFrame({"resample": np.arange(resamples), **dict(zip(("n_a", "sum_a", "n_b", "sum_b"), sums))})
 
     partial = rows.mapInPandas(weighted_sums, "resample int, n_a double, sum_a double, n_b double, sum_b double")
     totals = partial.groupBy("resample").agg(*[F.sum(c).alias(c) for c in ("n_a", "sum_a", "n_b", "sum_b")])
@@ -54,13 +53,20 @@ def poisson_draws(rows: np.ndarray, resamples: int, seed: int) -> np.ndarray:
     """Poisson(1) counts, one row per input row and one column per resample."""
     base = _mixed(rows.astype(np.int64).view(np.uint64) + np.uint64(seed))
     step = _mixed(np.arange(1, resamples + 1, dtype=np.uint64))
-    uniform = (_mixed(base[:, None] ^ step[None, :]) >> np.uint64(11)) * 2.0 ** -53
-    return np.searchsorted(_POISSON, uniform, side="right").astype(np.float64)
+    mixed = _mixed(base[:, None] ^ step[None, :])
+    draws, above = np.zeros(mixed.shape), np.empty(mixed.shape, dtype=bool)
+    for limit in _LIMITS:
+        if not np.greater_equal(mixed, limit, out=above).any():
+            break
+        draws += above
+    return draws
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     """The finaliser of SplitMix64 (published constants)."""
     x = x + np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= x >> np.uint64(shift)
+        x *= np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    return x

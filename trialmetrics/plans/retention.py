@@ -114,8 +114,9 @@ def country_retention(t: Tables, exp: Experiment, distinct_totals: bool = True)
     between = (datetime.combine(days.first, midnight), datetime.combine(days.last, midnight))
     first = assignment.resolve(t, exp, "user_first", between=between)
     country = F.get_json_object("geo", "$.country")
-    home = (t["app_event"].filter(activity.has_id(t["app_event"]))
-            .groupBy("user_id").agg(F.max(country).alias("country")))
+    # A user's events repeat the same few texts: only distinct ones are parsed.
+    places = t["app_event"].filter(activity.has_id(t["app_event"])).select("user_id", "geo").distinct()
+    home = places.groupBy("user_id").agg(F.max(country).alias("country"))
     bits = activity.active_bits(t["active"], days.widened(after=max(HORIZONS)))
     cohort = (
         first.filter(F.col("variation_id").isNotNull())
