@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from trialmetrics import Experiment, Tables
 from trialmetrics.functions import means, proportions, ranks, resampling
@@ -14,6 +14,7 @@ from trialmetrics.operators import assignment, windows
 from trialmetrics.plans import ads, business, catalog, chat, engagement, recharge, retention, subscription
 from trialmetrics.publish import export_csv, preview, publish, published, typed, with_headings, RETENTION_HEADINGS
 from trialmetrics.session import shared_folder
+from trialmetrics.sources.documents import read_experiment_documents
 from trialmetrics.sources.fixtures import PHASE, fixture_tables
 from trialmetrics.sources.tables import numeric_sample, read_csv
 
@@ -82,7 +83,7 @@ def _trimmed(spark: SparkSession, folder: str) -> DataFrame:
 
 def _matured(spark: SparkSession, folder: str) -> DataFrame:
     rates = _new_rates(spark, folder)
-    latest = F.max("dt").over(windows.Window.partitionBy("day"))
+    latest = F.max("dt").over(Window.partitionBy("day"))
     return windows.matured(rates.withColumn("latest", latest), F.col("latest")).select(
         "dt", "variation", "day", "users", "retained")
 
@@ -91,13 +92,38 @@ def _merged_parts(spark: SparkSession, folder: str) -> DataFrame:
     return retention.merge_partials(retention.new_user_retention(fixture_tables(spark, folder), PHASE, parts=20))
 
 
-def _proportion(spark: SparkSession, folder: str) -> DataFrame:
+def _payers(spark: SparkSession, folder: str) -> DataFrame:
+    """Users per country and those who paid more than 40 at once."""
     users = spark.read.parquet(f"{folder}/events.parquet").groupBy("user_id").agg(
         F.max((F.col("event_type") == "purchase") & (F.col("value") > 40)).alias("paid"))
     countries = spark.read.parquet(f"{folder}/nation.parquet")
-    counts = users.join(countries, F.col("n_nationkey") == F.col("user_id") % 25).groupBy(
-        F.col("n_name").alias("country")).agg(F.count("*").alias("users"), F.count(F.when(F.col("paid"), 1)).alias("payers"))
-    return rounded(proportions.wald_interval(counts, "payers", "users"))
+    return users.join(countries, F.col("n_nationkey") == F.col("user_id") % 25).groupBy(
+        F.col("n_name").alias("country"), F.col("n_regionkey").alias("region")).agg(
+        F.count("*").alias("users"), F.count(F.when(F.col("paid"), 1)).alias("payers"))
+
+
+def _proportion(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(proportions.wald_interval(_payers(spark, folder).drop("region"), "payers", "users"))
+
+
+def _beta(spark: SparkSession, folder: str) -> DataFrame:
+    """T2. Each country against the first one of its region."""
+    region = Window.partitionBy("region").orderBy("country").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = _payers(spark, folder).withColumns({
+        "control_users": F.first("users").over(region), "control_payers": F.first("payers").over(region)})
+    compared = proportions.beta_comparison(rows, "control_payers", "control_users", "payers", "users")
+    return rounded(compared.select("country", "users", "payers", "control_users", "control_payers", "uplift", "chance_to_win"))
+
+
+def _normal(spark: SparkSession, folder: str) -> DataFrame:
+    """T3. Mean amount of each country against the first one of its region."""
+    region = Window.partitionBy("n_regionkey").orderBy("country").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    means_ = spark.read.parquet(f"{folder}/events.parquet").join(
+        spark.read.parquet(f"{folder}/nation.parquet"), F.col("n_nationkey") == F.col("user_id") % 25).groupBy(
+        "n_regionkey", F.col("n_name").alias("country")).agg(F.avg("value").alias("mean"))
+    rows = means_.withColumn("control_mean", F.first("mean").over(region))
+    return rounded(rows.select("country", "mean", "control_mean",
+                               means.assumed_normal_win("control_mean", "mean").alias("chance_to_win")))
 
 
 def _pooled(spark: SparkSession, folder: str) -> DataFrame:
@@ -188,6 +214,17 @@ def _headed(spark: SparkSession, folder: str) -> DataFrame:
     return with_headings(rounded(retention.daily_report(wide, PHASE, evaluate=False)), RETENTION_HEADINGS)
 
 
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    """M5 from documents exported as JSON in pages of 100 and read again."""
+    path = f"{shared_folder(spark)}/order_documents_json"
+    documents = order_documents(spark, folder)
+    page = F.floor(F.col("position") / 100) * 100
+    entry = F.struct("position", "name", "tags", "variations", "phases")
+    pages = documents.groupBy(page.alias("offset")).agg(F.sort_array(F.collect_list(entry)).alias("experiments"))
+    pages.write.mode("overwrite").json(path)
+    return _table(read_experiment_documents(spark, path, one_per_file=False))
+
+
 def _rolled_up(t: Tables, exp: Experiment) -> DataFrame:
     return recharge.rolled_up(recharge.recharge(t, exp))
 
@@ -277,6 +314,8 @@ def queries() -> dict[str, Query]:
         "c9_explore_chat_depth": _report(chat.explore_chat_depth),
         "c10_recall_impressions": _report(chat.recall_impressions),
         "t1_proportion_interval": _proportion,
+        "t2_beta_comparison": _beta,
+        "t3_assumed_normal_win": _normal,
         "t4_t5_uplifts": _pooled,
         "t6_numeric_sample": _numeric,
         "t7_regression": _sample(means.linear_regression, p_values=False),
@@ -299,6 +338,7 @@ def queries() -> dict[str, Query]:
         "m7_as_published": _catalog(lambda docs: catalog.experiment_table(docs, AS_OF, as_published=True)),
         "m9_tags": _catalog(lambda docs: catalog.tags(_table(docs))),
         "m10_lookup": _catalog(lambda docs: catalog.lookup(_table(docs), "team_3")),
+        "s3_exported_documents": _documents,
         "s4_s5_csv_round_trip": _csv,
         "s6_published_twice": _republished,
         "s9_typed_report": _typed,

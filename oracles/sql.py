@@ -174,6 +174,29 @@ WIN = """(SELECT SUM(EXP(
     FROM generate_series(0, er) g(i))"""
 
 
+def phi(z: str) -> str:
+    """Normal distribution function, by Simpson's rule."""
+    return f"""(0.5 + ({z}) / 3000 / SQRT(2 * PI()) * (SELECT SUM((CASE WHEN k IN (0, 1000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END)
+        * EXP(-POWER(({z}) * k / 1000, 2) / 2)) FROM generate_series(0, 1000) g(k)))"""
+
+
+def student(t: str, df: str) -> str:
+    """Two-sided p-value of Student's t, by Simpson's rule."""
+    return f"""(1 - 2 * ABS({t}) / 6000 * EXP(lgamma(({df} + 1) / 2) - lgamma({df} / 2)) / SQRT({df} * PI())
+        * (SELECT SUM((CASE WHEN k IN (0, 2000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END)
+        * POWER(1 + POWER({t} * k / 2000, 2) / {df}, -({df} + 1) / 2)) FROM generate_series(0, 2000) g(k)))"""
+
+
+def beta_win(xc: str, nc: str, xe: str, ne: str) -> str:
+    """P(treatment > control) of two Beta posteriors with any parameters, on a grid."""
+    def density(x: str, n: str) -> str:
+        return (f"EXP(lgamma(({n}) + 2) - lgamma(({x}) + 1) - lgamma(({n}) - ({x}) + 1) + ({x}) * LN((i + 0.5) / 400000)"
+                f" + (({n}) - ({x})) * LN(1 - (i + 0.5) / 400000))")
+    return f"""(SELECT SUM(c * (SUM_E - CUM_E + e / 2)) / (SUM(c) * MAX(SUM_E)) FROM (SELECT c, e, SUM(e) OVER () AS SUM_E,
+        SUM(e) OVER (ORDER BY i) AS CUM_E FROM (SELECT i, {density(xc, nc)} AS c, {density(xe, ne)} AS e
+        FROM generate_series(0, 399999) g(i))))"""
+
+
 def overall(cutoff: bool) -> tuple[str, dict[str, str]]:
     matured = "dt <= (SELECT MAX(dt) FROM long) - day" if cutoff else "TRUE"
     kept = f"""SELECT * FROM long WHERE {matured} AND ((SELECT COUNT(DISTINCT dt) FROM long) <= 2 OR dt NOT IN
@@ -446,7 +469,17 @@ def _phase_sums() -> dict[str, str]:
             AS exposure_rate_uplift,
         CASE WHEN c.ad_arpu > 0 THEN ROUND((e.ad_arpu - c.ad_arpu) / c.ad_arpu, 6) ELSE 0 END AS ad_arpu_uplift
         FROM sums e JOIN sums c ON c.variation_id = 0 WHERE e.variation_id <> 0"""
+    g3_full = f"""SELECT *, ROUND({beta_win("control_users * control_conversion_rate", "control_users",
+        "exp_users * exp_conversion_rate", "exp_users")}, 6) AS conversion_chance_to_win,
+        ROUND({phi("(exp_ARPU - control_ARPU) / SQRT(POWER(exp_ARPU / 5, 2) + POWER(control_ARPU / 5, 2))")}, 6)
+        AS ARPU_chance_to_win FROM uplifts"""
+    v2_full = f"""SELECT u.*, ROUND({beta_win("cx", "control_users", "ex", "exp_group_users")}, 6) AS exposure_rate_chance_to_win,
+        ROUND({phi("(exp_group_ad_arpu - control_ad_arpu) / SQRT(POWER(exp_group_ad_arpu / 5, 2) + POWER(control_ad_arpu / 5, 2))")}, 6)
+        AS ad_arpu_chance_to_win FROM uplifts u JOIN (SELECT e.variation_id, e.ad_exposure_users AS ex, c.ad_exposure_users AS cx
+        FROM sums e JOIN sums c ON c.variation_id = 0) x ON x.variation_id = u.variation"""
     return {
+        "g3_recharge_evaluation": with_views(g3_full, anyone=anyone, sums=g1, uplifts=g3),
+        "v2_ads_evaluation": with_views(v2_full, anyone=anyone, sums=v1("TRUE"), uplifts=v2),
         "g1_recharge": with_views(g1, anyone=anyone),
         "g2_recharge_rolled_up": with_views(f"SELECT * FROM ({g1}) WHERE variation IS NOT NULL", anyone=anyone),
         "g3_recharge_uplift": with_views(g3, anyone=anyone, sums=g1),
@@ -632,7 +665,32 @@ def _statistics() -> dict[str, str]:
     t6 = """SELECT TRY_CAST(v AS INT) AS variation_id, ROUND(TRY_CAST(a AS DOUBLE), 6) AS user_aov FROM (
         SELECT CAST(variation_id AS VARCHAR) AS v, CASE WHEN user_id % 7 = 0 THEN 'n/a' WHEN user_id % 11 = 0 THEN NULL
         ELSE CAST(user_aov AS VARCHAR) END AS a FROM v_user_aov) WHERE TRY_CAST(a AS DOUBLE) IS NOT NULL"""
+    payers = """SELECT n_name AS country, n_regionkey AS region, COUNT(DISTINCT user_id) AS users,
+        COUNT(DISTINCT CASE WHEN event_type = 'purchase' AND value > 40 THEN user_id END) AS payers
+        FROM events JOIN nation ON n_nationkey = user_id % 25 GROUP BY 1, 2"""
+    sides = """SELECT e.country, e.users AS eu, e.payers AS er, c.users AS cu, c.payers AS cr FROM payers e
+        JOIN payers c ON c.region = e.region AND c.country = (SELECT MIN(country) FROM payers m WHERE m.region = e.region)"""
+    t2 = f"""SELECT country, eu AS users, er AS payers, cu AS control_users, cr AS control_payers,
+        ROUND(((er + 1) / (eu + 2) - (cr + 1) / (cu + 2)) / ((cr + 1) / (cu + 2)), 6) AS uplift,
+        ROUND({WIN}, 6) AS chance_to_win FROM sides"""
+    averages = """SELECT n_name AS country, n_regionkey AS region, AVG(value) AS m FROM events
+        JOIN nation ON n_nationkey = user_id % 25 GROUP BY 1, 2"""
+    pairs = """SELECT e.country, e.m, c.m AS cm FROM averages e JOIN averages c ON c.region = e.region
+        AND c.country = (SELECT MIN(country) FROM averages o WHERE o.region = e.region)"""
+    t3 = f"""SELECT country, ROUND(m, 6) AS mean, ROUND(cm, 6) AS control_mean,
+        ROUND({phi("(m - cm) / SQRT(POWER(m / 5, 2) + POWER(cm / 5, 2))")}, 6) AS chance_to_win FROM pairs"""
+    t7_p = rounded(f"SELECT *, {student('t_stat', '(n - 2)')} AS p_value FROM base", "r2 coefficient std_error t_stat p_value")
+    t8_p = rounded(f"SELECT *, {student('t_stat', 't_df')} AS t_p, 2 * (1 - {phi('ABS(z_stat)')}) AS z_p FROM base",
+                   "mean_a mean_b mean_diff se t_stat t_df z_stat t_p z_p")
+    t9_p = f"""SELECT base.*, ROUND({phi("(mb - ma) / SQRT(va / na + vb / nb)")}, 6) AS bayes_prob FROM base, moments"""
+    t11_p = rounded(f"SELECT *, CASE WHEN z_stat <= 0 THEN 1 ELSE 2 * (1 - {phi('z_stat')}) END AS u_p FROM base", "u_stat z_stat u_p")
     return {
+        "t2_beta_comparison": with_views(t2, payers=payers, sides=sides),
+        "t3_assumed_normal_win": with_views(t3, averages=averages, pairs=pairs),
+        "t7_regression_p_values": with_views(t7_p, sample=sample, fit=fit, base=t7.replace(", 6) AS", ", 12) AS")),
+        "t8_mean_tests_p_values": with_views(t8_p, sample=sample, moments=moments, base=t8.replace(", 6) AS", ", 12) AS")),
+        "t9_posterior_difference_probability": with_views(t9_p, sample=sample, moments=moments, base=t9),
+        "t11_rank_test_p_value": with_views(t11_p, sample=sample, base=t11.replace(", 6) AS", ", 12) AS")),
         "t1_proportion_interval": with_views(t1),
         "t4_t5_uplifts": with_views("""SELECT day, SUM(er)::BIGINT AS pooled_retained, SUM(eu)::BIGINT AS pooled_users,
             CASE WHEN MAX(cr) > 0 THEN ROUND((SUM(er) / SUM(eu) - MAX(cr) / MAX(cu)) / (MAX(cr) / MAX(cu)), 6) ELSE 0 END
@@ -681,6 +739,7 @@ def _catalog() -> dict[str, str]:
         "m4_eligible": with_views("SELECT tag, name, started, ended FROM kept", **parts),
         "m5_described": with_views("SELECT * FROM described", **parts),
         "m6_m7_with_overrides": with_views(f"SELECT * FROM described UNION ALL ({overrides})", **parts),
+        "s3_exported_documents": with_views("SELECT * FROM described", **parts),
         "m7_as_published": with_views(published, **parts),
         "m9_tags": with_views("SELECT DISTINCT TRIM(tag) AS tag FROM described", **parts),
         "m10_lookup": with_views("SELECT * FROM described WHERE tag = 'team_3'", **parts),

@@ -22,7 +22,8 @@ def groups():
     return [rng.gauss(10, 3) for _ in range(120)], [rng.gauss(10.8, 4) for _ in range(90)]
 
 
-COUNTS = [(3, 10, 5, 11), (0, 4, 0, 7), (500, 1000, 530, 1010), (10, 10, 9, 10), (0, 1, 1, 1), (0, 0, 0, 0)]
+COUNTS = [(3, 10, 5, 11), (0, 4, 0, 7), (500, 1000, 530, 1010), (10, 10, 9, 10), (0, 1, 1, 1), (0, 0, 0, 0),
+          (135, 135, 134, 134), (0, 500, 1, 400)]
 
 
 @pytest.mark.parametrize("counts", COUNTS)

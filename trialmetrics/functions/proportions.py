@@ -13,7 +13,9 @@ from trialmetrics.functions.special import incomplete_beta
 
 Z95 = 1.96
 GRID = 2000
-NODES, WEIGHTS = np.polynomial.legendre.leggauss(200)
+NODES, WEIGHTS = np.polynomial.legendre.leggauss(400)
+# Standard deviations kept on each side. Next to 0 or 1 a posterior falls off only exponentially.
+REACH, GRID_REACH = 40, 12
 
 
 def wald_interval(df: DataFrame, successes: str, trials: str, rate: str = "rate") -> DataFrame:
@@ -74,7 +76,7 @@ def compare_beta(xc: float, nc: float, xe: float, ne: float) -> tuple[float, flo
 
 def win_probability(xc: float, nc: float, xe: float, ne: float) -> float:
     """The treatment's upper tail averaged over the control's posterior (Gauss-Legendre)."""
-    low, high = _support(xc, nc)
+    low, high = _support(xc, nc, REACH)
     at = low + (high - low) * (NODES + 1) / 2
     mass = WEIGHTS * _density(at, xc, nc)
     upper = 1 - incomplete_beta(xe + 1, ne - xe + 1, at)
@@ -100,11 +102,11 @@ def difference_quantiles(xc: float, nc: float, xe: float, ne: float,
     return [quantile(level) for level in levels]
 
 
-def _support(x: float, n: float) -> tuple[float, float]:
+def _support(x: float, n: float, reach: float) -> tuple[float, float]:
     """The part of [0, 1] that holds the posterior but for a negligible rest."""
     a, b = x + 1.0, n - x + 1.0
     mean, sd = a / (a + b), np.sqrt(a * b / (a + b + 1)) / (a + b)
-    return max(0.0, mean - 12 * sd), min(1.0, mean + 12 * sd)
+    return max(0.0, mean - reach * sd), min(1.0, mean + reach * sd)
 
 
 def _density(at: np.ndarray, x: float, n: float) -> np.ndarray:
@@ -113,7 +115,7 @@ def _density(at: np.ndarray, x: float, n: float) -> np.ndarray:
 
 
 def _on_grid(x: float, n: float) -> tuple[np.ndarray, np.ndarray]:
-    edges = np.linspace(*_support(x, n), GRID + 1)
+    edges = np.linspace(*_support(x, n, GRID_REACH), GRID + 1)
     middle = (edges[1:] + edges[:-1]) / 2
     mass = _density(middle, x, n)
     return middle, mass / mass.sum()

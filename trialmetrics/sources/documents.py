@@ -7,12 +7,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from trialmetrics.sources.schemas import EXPERIMENT_DOCUMENTS
 
 
-def read_experiment_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of exported responses ``{"experiments": [...]}`` with their ``position``.
+def read_experiment_documents(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
+    """Documents of exported responses ``{"experiments": [...], "offset": n}``.
 
-    Several files are pages of one export, in the order of their names.
+    ``position`` orders them: pages by their offset (by file name if it is missing), and
+    documents as they stand in the page. A file holds one response, however many lines it
+    takes, or one per line.
     """
-    response = T.StructType([T.StructField("experiments", T.ArrayType(EXPERIMENT_DOCUMENTS))])
-    pages = spark.read.schema(response).json(path, multiLine=True).withColumn("page", F.input_file_name())
-    documents = pages.select("page", F.posexplode("experiments").alias("index", "document"))
-    return documents.select(F.struct("page", "index").alias("position"), "document.*")
+    response = T.StructType([T.StructField("experiments", T.ArrayType(EXPERIMENT_DOCUMENTS)),
+                             T.StructField("offset", T.LongType())])
+    pages = spark.read.schema(response).json(path, multiLine=one_per_file).select(
+        "offset", F.input_file_name().alias("file"), "experiments")
+    documents = pages.select("offset", "file", F.posexplode("experiments").alias("index", "document"))
+    return documents.select(F.struct("offset", "file", "index").alias("position"), "document.*")
