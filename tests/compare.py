@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     connection.execute("SET TimeZone = 'UTC'")
@@ -40,12 +44,14 @@ def rows_of(names: list[str], rows) -> list[tuple]:
 
 
 def difference(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> str | None:
-    """None if names and rows agree, otherwise what differs."""
+    """None if names, types and rows agree, otherwise what differs."""
+    wanted = {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    have = {name: TYPES[kind] for name, kind in df.dtypes}
+    if have != wanted:
+        return f"columns {sorted(have.items())} against {sorted(wanted.items())}"
     result = connection.execute(sql)
     names = [column[0] for column in result.description]
     expected = rows_of(names, result.fetchall())
-    if sorted(df.columns) != sorted(names):
-        return f"columns {sorted(df.columns)} against {sorted(names)}"
     found = rows_of(df.columns, df.collect())
     if found == expected:
         return None

@@ -27,6 +27,16 @@ def test_runs_without_sql_counterpart(spark, name):
     assert QUERIES[name](spark, FOLDER).count() > 0
 
 
+KEYS = {"dt", "event_date", "event_day", "sub_date", "variation", "variation_id", "country", "day"}
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n[0] in "rbugvec" and n[1].isdigit()))
+def test_reports_have_one_row_per_key(spark, name):
+    rows = QUERIES[name](spark, FOLDER).collect()
+    keys = [tuple(row[c] for c in row.__fields__ if c in KEYS) for row in rows]
+    assert rows and len(set(keys)) == len(keys)
+
+
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
