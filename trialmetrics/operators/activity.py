@@ -15,10 +15,6 @@ from trialmetrics.operators.windows import Days
 _BITS = 64
 
 
-def _words(days: Days) -> int:
-    return max(1, -(-len(days) // _BITS))
-
-
 def active_bits(active: DataFrame, days: Days) -> DataFrame:
     """One row per user: ``bits``, an array of integers with a bit for each active day."""
     offset = F.datediff("active_date", F.lit(days.first))
@@ -26,20 +22,19 @@ def active_bits(active: DataFrame, days: Days) -> DataFrame:
         active.filter(days.contain("active_date") & (F.col("keep_alive_flag") == 1) & has_id(active))
         .select("user_id", offset.alias("offset"))
     )
-    words = []
-    for word in range(_words(days)):
-        low = word * _BITS
-        inside = F.col("offset").between(low, low + _BITS - 1)
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("offset") - low)
-        words.append(F.bit_or(F.when(inside, bit)).alias(f"word{word}"))
-    names = [f"word{word}" for word in range(_words(days))]
-    return rows.groupBy("user_id").agg(*words).select("user_id", F.array(*names).alias("bits"))
-
-
-def is_active(bits: Column | str, offset: Column) -> Column:
-    """Whether the bit ``offset`` days after the window's first day is set."""
-    word = F.get(bits, F.floor(offset / _BITS).cast("int"))
-    return F.coalesce(F.getbit(word, F.pmod(offset, F.lit(_BITS))) == 1, F.lit(False))
+    words = [
+        F.expr(f"bit_or(CASE WHEN offset BETWEEN {low} AND {low + _BITS - 1} THEN shiftleft(1L, offset - {low}) END)")
+        for low in range(0, max(1, len(days)), _BITS)
+    ]
+    names = [f"word{i}" for i in range(len(words))]
+    return rows.groupBy("user_id").agg(*[word.alias(name) for word, name in zip(words, names)]).select(
+        "user_id", F.array(*names).alias("bits"))
+
+
+def is_active(offset: str, bits: str = "bits") -> str:
+    """SQL for: is the bit set that lies ``offset`` days after the window's first day?"""
+    word = f"get({bits}, CAST(floor(({offset}) / {_BITS}) AS INT))"
+    return f"coalesce(getbit({word}, pmod({offset}, {_BITS})) = 1, false)"
 
 
 def has_id(df: DataFrame) -> Column:

@@ -18,9 +18,10 @@ KEYS = ["dt", "variation"]
 COUNTERS = ["new_users", *[f"d{n}" for n in HORIZONS]]
 
 
-def _returned(day: Column) -> list[Column]:
-    """One 0/1 column per horizon for a cohort day given as an offset into ``bits``."""
-    return [activity.is_active("bits", day + n).cast("bigint").alias(f"d{n}") for n in HORIZONS]
+def _cohort_day(day: str, offset: str) -> str:
+    """SQL struct of a cohort day, given also as an offset into ``bits``, with a 0/1 per horizon."""
+    returned = ", ".join(f"'d{n}', CAST({activity.is_active(f'{offset} + {n}')} AS BIGINT)" for n in HORIZONS)
+    return f"named_struct('dt', {day}, {returned})"
 
 
 def _first_assignments(t: Tables, exp: Experiment) -> DataFrame:
@@ -36,25 +37,23 @@ def _first_assignments(t: Tables, exp: Experiment) -> DataFrame:
     )
 
 
-def _cohort_report(cohort_days: DataFrame, extra: list[str]) -> DataFrame:
+def _cohort_report(users: DataFrame, extra: list[str]) -> DataFrame:
     """Sum cohort and assignment rows; groups without cohort users are still included.
 
     Each input row is one user with ``cohort``, an array of (dt, d1..d15) structs, and
     the day and variation the user was first assigned to. The assigned users are counted
     on the same pass as the cohort, so the assignment table is read and shuffled once.
     """
-    zero = [F.lit(0).cast("bigint").alias(name) for name in [*COUNTERS, "total_assigned"]]
-    assigned = F.struct(F.col("assigned_on").alias("dt"), F.col("assigned_to").alias("variation"),
-                        *zero[:-1], F.lit(1).cast("bigint").alias("total_assigned"))
-    members = F.transform("cohort", lambda c: F.struct(
-        c["dt"].alias("dt"), F.col("variation").alias("variation"), F.lit(1).cast("bigint").alias("new_users"),
-        *[c[name].alias(name) for name in COUNTERS[1:]], F.lit(0).cast("bigint").alias("total_assigned")))
-    rows = cohort_days.select(*extra, F.inline(F.concat(F.array(assigned), F.coalesce(
-        members, F.array().cast(f"array<struct<dt:date,variation:int,{','.join(f'{c}:bigint' for c in COUNTERS)},"
-                                "total_assigned:bigint>>")))))
+    def row(day: str, variation: str, counted: dict[str, str]) -> str:
+        counts = ", ".join(f"'{name}', CAST({counted.get(name, '0')} AS BIGINT)" for name in [*COUNTERS, "total_assigned"])
+        return f"named_struct('dt', {day}, 'variation', {variation}, {counts})"
+
+    assigned = row("assigned_on", "assigned_to", {"total_assigned": "1"})
+    member = row("c.dt", "variation", {"new_users": "1", **{name: f"c.{name}" for name in COUNTERS[1:]}})
+    rows = users.select(*extra, F.expr(
+        f"inline(concat(array({assigned}), CASE WHEN cohort IS NULL THEN array() ELSE transform(cohort, c -> {member}) END))"))
     return (
-        rows.filter(F.col("dt").isNotNull() & F.col("variation").isNotNull())
-        .groupBy("dt", "variation", *extra)
+        rows.filter("dt IS NOT NULL AND variation IS NOT NULL").groupBy("dt", "variation", *extra)
         .agg(*[F.sum(name).alias(name) for name in [*COUNTERS, "total_assigned"]])
     )
 
@@ -71,11 +70,11 @@ def new_user_retention(t: Tables, exp: Experiment, strict_bounds: bool = False,
     origin = windows.between_times(exp, strict_bounds).first
     day = F.to_date("first_visit_date")
     visits = t["first_visit"].filter(days.contain(day)).select("user_id", day.alias("visit")).distinct()
-    offset = F.datediff("visit", F.lit(origin))
+    cohort_day = _cohort_day("visit", f"datediff(visit, DATE '{origin}')")
+    cohort = F.expr(f"CASE WHEN visit IS NOT NULL AND variation IS NOT NULL THEN array({cohort_day}) END")
     users = (
         _first_assignments(t, exp).join(visits, "user_id", "left").join(bits, "user_id", "left")
-        .withColumn("cohort", F.when(F.col("visit").isNotNull() & F.col("variation").isNotNull(),
-                                     F.array(F.struct(F.col("visit").alias("dt"), *_returned(offset)))))
+        .withColumn("cohort", cohort)
     )
     if parts is None:
         return _cohort_report(users, []).filter("new_users > 0")
@@ -90,17 +89,15 @@ def active_user_retention(t: Tables, exp: Experiment, strict_bounds: bool = Fals
     days = windows.between_times(exp, strict_bounds)
     bits = activity.active_bits(t["active"], days.widened(after=max(HORIZONS)))
     users = _first_assignments(t, exp).join(bits, "user_id", "left")
-    cohort = F.when(F.col("variation").isNotNull(), _active_days(days))
+    cohort = F.expr(f"CASE WHEN variation IS NOT NULL THEN {_active_days(days)} END")
     return _cohort_report(users.withColumn("cohort", cohort), []).filter("new_users > 0")
 
 
-def _active_days(days: windows.Days) -> Column:
-    """The user's active days of the window, each with its returns."""
-    if not len(days):
-        return F.lit(None).cast("array<struct<dt:date,d1:bigint,d3:bigint,d7:bigint,d15:bigint>>")
-    offsets = F.filter(F.sequence(F.lit(0), F.lit(len(days) - 1)), lambda d: activity.is_active("bits", d))
-    return F.transform(offsets, lambda d: F.struct(
-        F.date_add(F.lit(days.first), d).alias("dt"), *_returned(d)))
+def _active_days(days: windows.Days) -> str:
+    """SQL array of the user's active days of the window, each with its returns."""
+    offsets = f"filter(sequence(0, {max(0, len(days) - 1)}), d -> {len(days)} > 0 AND {activity.is_active('d')})"
+    cohort_day = _cohort_day(f"date_add(DATE '{days.first}', d)", "d")
+    return f"transform({offsets}, d -> {cohort_day})"
 
 
 def country_retention(t: Tables, exp: Experiment, distinct_totals: bool = True) -> DataFrame:
@@ -121,7 +118,7 @@ def country_retention(t: Tables, exp: Experiment, distinct_totals: bool = True)
     cohort = (
         first.filter(F.col("variation_id").isNotNull())
         .join(home.filter(F.col("country").isNotNull()), "user_id").join(bits, "user_id")
-        .select(F.col("variation_id").alias("variation"), "country", F.inline(_active_days(days)))
+        .select(F.col("variation_id").alias("variation"), "country", F.expr(f"inline({_active_days(days)})"))
         .groupBy("dt", "variation", "country")
         .agg(F.count("*").alias("new_users"), *[F.sum(f"d{n}").alias(f"d{n}") for n in HORIZONS])
     )
