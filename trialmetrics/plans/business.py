@@ -233,16 +233,17 @@ def cancellation_rate(t: Tables, exp: Experiment, same_day_only: bool = False) -
         google=marked("google", ("2", "4"), "3"),
     ).groupBy("user_id", "order_id", "event_date").agg(
         F.max("subscribed").alias("subscribed"), F.max("cancelled").alias("cancelled"))
-    located = notices.join(_geo(t, days.widened(after=3)), USER_DAY, "left")
+    # Country and variation both hang on (user, day): one exchange of the notices serves both joins.
+    users = assignment.resolve(t, exp, "daily_first", days).filter("variation_id IS NOT NULL")
+    located = notices.join(_geo(t, days.widened(after=3)), USER_DAY, "left").join(users, USER_DAY, "left")
     ahead = (Window.partitionBy("user_id", "order_id", "country").orderBy(F.unix_date("event_date"))
              .rangeBetween(0, 0 if same_day_only else 3))
     known = F.col("country").isNotNull() & F.col("order_id").isNotNull()
     rows = (
         located.withColumn("left", F.max("cancelled").over(ahead) & known)
-        .filter(F.col("subscribed") & days.contain("event_date"))
-        .groupBy(*USER_DAY, "country").agg(F.max("left").alias("left"))
+        .filter("subscribed AND variation_id IS NOT NULL")
+        .groupBy(*USER_DAY, "country", "variation_id").agg(F.max("left").alias("left"))
     )
-    users = assignment.resolve(t, exp, "daily_first", days).filter("variation_id IS NOT NULL")
-    sums = rows.join(users, USER_DAY).groupBy("event_date", "country", "variation_id").agg(
+    sums = rows.groupBy("event_date", "country", "variation_id").agg(
         F.count("*").alias("total_subs"), total("left").alias("unsub_in3d"))
     return sums.withColumn("unsub_rate_day3", ratio("unsub_in3d", "total_subs", 4))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -14,7 +15,8 @@ class Tables:
     """Input tables by name, opened when first asked for.
 
     ``share_assignments`` makes :func:`trialmetrics.operators.assignment.resolve` write
-    each resolved assignment once to the shared folder, for runs of many metrics.
+    each resolved assignment once to the shared folder, for runs of many metrics. Every
+    instance has a folder of its own, so runs do not disturb each other.
     """
 
     def __init__(self, spark: SparkSession, opener: Callable[[str], DataFrame],
@@ -24,6 +26,7 @@ class Tables:
         self._open: dict[str, DataFrame] = {}
         self._shared: dict[str, DataFrame] = {}
         self.share_assignments = share_assignments
+        self._run = uuid4().hex
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._open:
@@ -34,7 +37,7 @@ class Tables:
         if not self.share_assignments:
             return build()
         if key not in self._shared:
-            self._shared[key] = staged(build(), key)
+            self._shared[key] = staged(build(), f"run-{self._run}/{key}")
         return self._shared[key]
 
     @classmethod
