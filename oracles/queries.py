@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
