@@ -14,6 +14,7 @@ in two different texts at least: what was seen in one text only, copied or not,
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -42,31 +43,41 @@ class Thresholds:
     window: int = 64
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body and its lambdas name it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _running(lengths: Column) -> Column:
     """Running totals of an array, in blocks: appending to one long array would copy it for every element."""
-    block = 128
-    count = F.ceil(F.size(lengths) / block).cast("int")
-    zero = F.lit(0).cast("long")
-    blocks = F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.slice(lengths, b * block + 1, block))
-    sums = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda a, x: a + x))
+    block, zero = 128, F.lit(0).cast("long")
 
     def totals(values: Column, start: Column) -> Column:
-        return F.slice(F.aggregate(values, F.array(start), lambda a, x: F.array_append(a, F.element_at(a, -1) + x)),
-                       2, F.size(values))
+        sums = F.aggregate(values, F.array(start), lambda a, x: F.array_append(a, F.element_at(a, -1) + x))
+        return F.slice(sums, 2, F.size(values))
+
+    def of_blocks(blocks: Column) -> Column:
+        bases = F.aggregate(blocks, F.array(zero), lambda a, b: F.array_append(
+            a, F.element_at(a, -1) + F.aggregate(b, zero, lambda t, x: t + x)))
+        return _let(bases, lambda starts: F.flatten(F.transform(blocks, lambda b, i: totals(b, F.element_at(starts, i + 1)))))
+
+    def of(values: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.ceil(F.size(values) / block).cast("int") - 1)
+        blocks = F.transform(numbers, lambda b: F.slice(values, b * block + 1, block))
+        return F.when(F.size(values) > 0, _let(blocks, of_blocks)).otherwise(F.array().cast("array<bigint>"))
 
-    bases = F.aggregate(sums, F.array(zero), lambda a, x: F.array_append(a, F.element_at(a, -1) + x))
-    return F.when(F.size(lengths) > 0, F.flatten(F.transform(
-        blocks, lambda b, i: totals(b, F.element_at(bases, i + 1))))).otherwise(F.array().cast("array<bigint>"))
+    return _let(lengths, of)
 
 
 def _found(text: Column, pattern: str) -> Column:
     """Spans of all leftmost non-overlapping matches. What stands between them gives their places."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    lengths = F.transform(matches, lambda m, i: (F.length(m) + F.length(F.get(between, i))).cast("long"))
-    spans = F.transform(F.arrays_zip(matches.alias("value"), _running(lengths).alias("stop")), lambda s: F.struct(
-        (s["stop"] - F.length(s["value"])).alias("start"), s["stop"].alias("stop"), s["value"].alias("value")))
-    return F.when(F.size(matches) > 0, spans).otherwise(F.array().cast(f"array<{_SPAN}>"))
+    def spans(matches: Column) -> Column:
+        lengths = F.zip_with(matches, F.split(text, pattern, -1), lambda m, gap: (F.length(m) + F.length(gap)).cast("long"))
+        return F.zip_with(matches, _running(F.slice(lengths, 1, F.size(matches))), lambda m, stop: F.struct(
+            (stop - F.length(m)).alias("start"), stop.alias("stop"), m.alias("value")))
+
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda matches: F.when(
+        F.size(matches) > 0, spans(matches)).otherwise(F.array().cast(f"array<{_SPAN}>")))
 
 
 def _digits(value: Column) -> Column:
@@ -85,7 +96,7 @@ def _valid(kind: str, value: Column) -> Column:
     if kind == "ip":
         return value.rlike(r"^0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})){3}$")
     if kind == "card":
-        return F.when(F.length(_digits(value)).between(16, 19), _luhn(_digits(value))).otherwise(F.lit(False))
+        return _let(_digits(value), lambda d: F.when(F.length(d).between(16, 19), _luhn(d)).otherwise(F.lit(False)))
     if kind == "phone":
         return F.length(_digits(value)).between(8, 15)
     return F.lit(True)
@@ -160,8 +171,9 @@ def _with_terms(df: DataFrame, key: str, text: str, limits: Thresholds) -> DataF
 
 
 def _joined(kinds: list[str]) -> Column:
-    return F.array_join(F.concat(*[F.transform(kind, lambda s, k=kind: F.concat_ws(":", F.lit(k), s["start"], s["stop"]))
-                                   for kind in kinds]), ",")
+    def named(kind: str) -> Column:
+        return F.transform(kind, lambda s: F.concat_ws(":", F.lit(kind), s["start"], s["stop"]))
+    return F.array_join(F.concat(*map(named, kinds)), ",")
 
 
 def personal_data(df: DataFrame, key: str = "doc_id", text: str = "text", limits: Thresholds = Thresholds()) -> DataFrame:
@@ -187,12 +199,16 @@ def sanitised(df: DataFrame, text: str = "text", limits: Thresholds = Thresholds
     row, out = fresh(df, "row"), fresh(df, "cuts")
     source = numbered(df, row)
     found = _with_terms(source, row, text, limits)
-    label = {kind: F.lit(f"[{kind.upper()}]") for kind in KINDS}
-    cuts = F.array_sort(F.concat(*[F.transform(kind, lambda s, i=i, k=kind: F.struct(
-        s["start"].alias("start"), F.lit(i).alias("kind"), s["stop"].alias("stop"), label[k].alias("label")))
-        for i, kind in enumerate(KINDS)], F.transform(TERM, lambda t: F.struct(
-            t["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), t["stop"].alias("stop"),
-            F.when(t["action"] == "remove", "").otherwise("[WORD]").alias("label")))))
+
+    def replaced(place: int, kind: str) -> Column:
+        label = F.lit(f"[{kind.upper()}]")
+        return F.transform(kind, lambda s: F.struct(
+            s["start"].alias("start"), F.lit(place).alias("kind"), s["stop"].alias("stop"), label.alias("label")))
+
+    terms = F.transform(TERM, lambda t: F.struct(
+        t["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), t["stop"].alias("stop"),
+        F.when(t["action"] == "remove", "").otherwise("[WORD]").alias("label")))
+    cuts = F.array_sort(F.concat(*[replaced(i, kind) for i, kind in enumerate(KINDS)], terms))
     marked = source.join(found.select(F.col("key").alias(row), cuts.alias(out)), row)
     value = F.col(text)
 
