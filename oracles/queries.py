@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -18,7 +20,12 @@ from trialmetrics.sources.fixtures import PHASE, fixture_tables
 from trialmetrics.sources.tables import numeric_sample, read_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
-AS_OF = datetime(2001, 1, 10, 8)
+AS_OF = datetime(2001, 8, 2, 8)
+
+
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A shared folder of this call alone, so that two runs do not overwrite each other."""
+    return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -28,15 +35,15 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
         for field in df.schema])
 
 
-def _report(job: Callable[[Tables, Experiment], DataFrame], **options) -> Query:
+def _report(job: Callable[[Tables, Experiment], DataFrame], hard: bool = False, **options) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return rounded(job(fixture_tables(spark, folder), PHASE, **options))
+        return rounded(job(fixture_tables(spark, folder, hard), PHASE, **options))
     return query
 
 
-def _after(base, job: Callable[..., DataFrame], **options) -> Query:
+def _after(base, job: Callable[..., DataFrame], hard: bool = False, **options) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return rounded(job(base(fixture_tables(spark, folder), PHASE), PHASE, **options))
+        return rounded(job(base(fixture_tables(spark, folder, hard), PHASE), PHASE, **options))
     return query
 
 
@@ -114,6 +121,15 @@ def _beta(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(compared.select("country", "users", "payers", "control_users", "control_payers", "uplift", "chance_to_win"))
 
 
+def _beta_interval(spark: SparkSession, folder: str) -> DataFrame:
+    """T2. The ends of the interval of the uplift."""
+    region = Window.partitionBy("region").orderBy("country").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = _payers(spark, folder).withColumns({
+        "control_users": F.first("users").over(region), "control_payers": F.first("payers").over(region)})
+    compared = proportions.beta_comparison(rows, "control_payers", "control_users", "payers", "users")
+    return rounded(compared.select("country", "uplift_ci_lower", "uplift_ci_upper"))
+
+
 def _normal(spark: SparkSession, folder: str) -> DataFrame:
     """T3. Mean amount of each country against the first one of its region."""
     region = Window.partitionBy("n_regionkey").orderBy("country").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -125,8 +141,9 @@ def _normal(spark: SparkSession, folder: str) -> DataFrame:
                                means.assumed_normal_win("control_mean", "mean").alias("chance_to_win")))
 
 
-def _pooled(spark: SparkSession, folder: str) -> DataFrame:
-    overall = retention.overall_report(retention.active_user_retention(fixture_tables(spark, folder), PHASE), PHASE)
+def _pooled(spark: SparkSession, folder: str, hard: bool = False) -> DataFrame:
+    tables = fixture_tables(spark, folder, hard)
+    overall = retention.overall_report(retention.active_user_retention(tables, PHASE), PHASE)
     return overall.groupBy("day").agg(
         F.sum("exp_retained").alias("pooled_retained"), F.sum("exp_users").alias("pooled_users"),
         F.max("freq_uplift").alias("freq_uplift"))
@@ -182,7 +199,7 @@ def _table(documents: DataFrame) -> DataFrame:
 
 def _republished(spark: SparkSession, folder: str) -> DataFrame:
     """B1 written twice under one tag and read back: one copy."""
-    report, root = business.order_value(fixture_tables(spark, folder), PHASE), f"{shared_folder(spark)}/published"
+    report, root = business.order_value(fixture_tables(spark, folder), PHASE), own_folder(spark, "published")
     for _ in range(2):
         publish(report, root, "order_value", PHASE.tag)
     return rounded(published(spark, root, "order_value", PHASE.tag))
@@ -195,7 +212,7 @@ ORDER_VALUE = T.StructType([
 
 
 def _csv(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/order_value_csv"
+    path = own_folder(spark, "order_value_csv")
     export_csv(business.order_value(fixture_tables(spark, folder), PHASE), path)
     return rounded(read_csv(spark, path, ORDER_VALUE))
 
@@ -215,7 +232,7 @@ def _headed(spark: SparkSession, folder: str) -> DataFrame:
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     """M5 from documents exported as JSON in pages of 100 and read again."""
-    path = f"{shared_folder(spark)}/order_documents_json"
+    path = own_folder(spark, "order_documents_json")
     documents = order_documents(spark, folder)
     page = F.floor(F.col("position") / 100) * 100
     entry = F.struct("position", "name", "tags", "variations", "phases")
@@ -224,6 +241,14 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return _table(read_experiment_documents(spark, path, one_per_file=False))
 
 
+def _looked_up(spark: SparkSession, folder: str) -> DataFrame:
+    """M8 to M10. The experiment table stored, and each of its tags looked up in it by what the jobs use."""
+    table = catalog.store(_table(order_documents(spark, folder)), own_folder(spark, "experiments"))
+    found = [(e.tag, e.name, e.phase_start, e.phase_end, e.variations) for e in catalog.experiments(table)]
+    return spark.createDataFrame(found, "tag string, experiment_name string, phase_start_time timestamp_ntz, "
+                                 "phase_end_time timestamp_ntz, number_of_variations int")
+
+
 def _rolled_up(t: Tables, exp: Experiment) -> DataFrame:
     return recharge.rolled_up(recharge.recharge(t, exp))
 
@@ -314,6 +339,7 @@ def queries() -> dict[str, Query]:
         "c10_recall_impressions": _report(chat.recall_impressions),
         "t1_proportion_interval": _proportion,
         "t2_beta_comparison": _beta,
+        "t2_beta_interval": _beta_interval,
         "t3_assumed_normal_win": _normal,
         "t4_t5_uplifts": _pooled,
         "t6_numeric_sample": _numeric,
@@ -328,6 +354,17 @@ def queries() -> dict[str, Query]:
         "t11_rank_test_p_value": _sample(ranks.rank_test),
         "t11_rank_test_tied": _tied_ranks,
         "t12_group_moments": _sample(means.group_moments),
+        "t4_t5_uplifts_hard": partial(_pooled, hard=True),
+        "r8_new_user_overall_hard": _after(new, retention.overall_report, hard=True),
+        "g3_recharge_uplift_hard": _after(_rolled_up, recharge.recharge_evaluation, hard=True, evaluate=False),
+        "v2_ads_uplift_hard": _after(ads.ads, ads.ads_evaluation, hard=True, evaluate=False),
+        "c1_click_rate_hard": _report(chat.click_rate, hard=True),
+        "c2_start_rate_hard": _report(chat.start_rate, hard=True),
+        "c3_chat_depth_hard": _report(chat.chat_depth, hard=True),
+        "e6_regenerations_hard": _report(engagement.regenerations, hard=True),
+        "b8_new_user_payment_rate_hard": _report(business.new_user_payment_rate, hard=True),
+        "r3_country_retention_hard": _report(retention.country_retention, hard=True),
+        "m8_m10_stored_and_looked_up": _looked_up,
         "m1_documents_by_tag": _catalog(lambda docs: catalog.by_tag(docs).select("name", "tag", "started")),
         "m3_latest_by_tag": _catalog(lambda docs: catalog.latest_by_tag(docs).select("tag", "name", "started")),
         "m4_eligible": _catalog(lambda docs: catalog.eligible(catalog.latest_by_tag(docs), AS_OF).select(

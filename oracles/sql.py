@@ -8,7 +8,9 @@ of that, so an error in a restructuring shows.
 
 from __future__ import annotations
 
-from oracles.views import with_views
+from math import exp, factorial
+
+from oracles.views import on_hard_events, with_views
 
 S, E = "DATE '2024-01-02'", "DATE '2024-01-28'"
 TS, TE = "TIMESTAMP '2024-01-02 06:00:00'", "TIMESTAMP '2024-01-28 18:00:00'"
@@ -28,12 +30,13 @@ def chosen(partition: str, order: str, where: str = "TRUE") -> str:
         FROM v_assignment WHERE experiment_id = 'exp_a' AND {where}) WHERE rn = 1"""
 
 
-USER_FIRST = chosen("user_id", "timestamp_assigned, variation_id")
-IN_PHASE = chosen("user_id", "timestamp_assigned, variation_id", f"timestamp_assigned BETWEEN {TS} AND {TE}")
-LATEST_DAY = chosen("user_id", "event_date DESC, timestamp_assigned, variation_id")
-FIRST_DAY = chosen("user_id", "event_date, timestamp_assigned, variation_id")
-DAILY_FIRST = chosen("user_id, event_date", "timestamp_assigned, variation_id")
-DAILY_LOWEST = chosen("user_id, event_date", "variation_id")
+# The warehouse sorts NULL before all values.
+USER_FIRST = chosen("user_id", "timestamp_assigned, variation_id NULLS FIRST")
+IN_PHASE = chosen("user_id", "timestamp_assigned, variation_id NULLS FIRST", f"timestamp_assigned BETWEEN {TS} AND {TE}")
+LATEST_DAY = chosen("user_id", "event_date DESC, timestamp_assigned, variation_id NULLS FIRST")
+FIRST_DAY = chosen("user_id", "event_date, timestamp_assigned, variation_id NULLS FIRST")
+DAILY_FIRST = chosen("user_id, event_date", "timestamp_assigned, variation_id NULLS FIRST")
+DAILY_LOWEST = chosen("user_id, event_date", "variation_id NULLS FIRST")
 
 
 def rounded(sql: str, columns: str, digits: int = 6) -> str:
@@ -65,7 +68,7 @@ def _assignments() -> dict[str, str]:
         "a1_first_in_phase": query(IN_PHASE, "user_id, variation_id"),
         "a2_first_ever": query(USER_FIRST, "user_id, variation_id"),
         "a3_latest_day": query(LATEST_DAY, "user_id, variation_id"),
-        "a4_daily_in_phase": query(chosen("user_id, event_date", "timestamp_assigned, variation_id", in_phase),
+        "a4_daily_in_phase": query(chosen("user_id, event_date", "timestamp_assigned, variation_id NULLS FIRST", in_phase),
                                    "user_id, event_date, variation_id"),
         "a5_daily_first": query(DAILY_FIRST, "user_id, event_date, variation_id"),
         "a6_daily_lowest": query(DAILY_LOWEST, "user_id, event_date, variation_id"),
@@ -197,6 +200,38 @@ def beta_win(xc: str, nc: str, xe: str, ne: str) -> str:
         FROM generate_series(0, 399999) g(i))))"""
 
 
+def bounds(keys: str, steps: int = 40) -> dict[str, str]:
+    """2.5% and 97.5% quantiles of the difference of two Beta posteriors for the rows of ``sides`` (cu, cr, eu, er),
+    as relation ``bounds``: both densities on 2000 cells, and the distribution of the difference halved step by step."""
+    def cells(side: str, users: str, hits: str) -> dict[str, str]:
+        mean, spread = f"(({hits} + 1) / ({users} + 2))", f"SQRT(({hits} + 1) * ({users} - {hits} + 1) / ({users} + 3)) / ({users} + 2)"
+        return {
+            f"{side}_support": f"""SELECT {keys}, {users} AS n, {hits} AS x, GREATEST(0, {mean} - 12 * {spread}) AS low,
+                LEAST(1, {mean} + 12 * {spread}) AS high FROM sides WHERE cu IS NOT NULL""",
+            f"{side}_density": f"""SELECT {keys}, i, low, (high - low) / 2000 AS step, spot, x * LN(spot) + (n - x) * LN(1 - spot) AS log
+                FROM (SELECT *, low + (high - low) * (i + 0.5) / 2000 AS spot FROM {side}_support, generate_series(0, 1999) g(i))""",
+            f"{side}_raw": f"SELECT *, EXP(log - MAX(log) OVER (PARTITION BY {keys})) AS raw FROM {side}_density",
+            f"{side}_mass": f"SELECT *, raw / SUM(raw) OVER (PARTITION BY {keys}) AS mass FROM {side}_raw"}
+
+    place = "((c.spot + (low + high) / 2 - e_low) / e_step)"
+    at_most = f"""CASE WHEN {place} <= 0 THEN 0 WHEN {place} >= 2000 THEN cdf[2001] ELSE cdf[CAST(FLOOR({place}) AS INT) + 1]
+        + ({place} - FLOOR({place})) * (cdf[CAST(FLOOR({place}) AS INT) + 2] - cdf[CAST(FLOOR({place}) AS INT) + 1]) END"""
+    parts = {
+        **cells("c", "cu", "cr"), **cells("e", "eu", "er"),
+        "c_cells": f"SELECT {keys}, LIST({{'spot': spot, 'mass': mass}} ORDER BY i) AS cells FROM c_mass GROUP BY ALL",
+        "e_cells": f"""SELECT {keys}, MIN(low) AS e_low, MIN(step) AS e_step, [0.0] || LIST(upto ORDER BY i) AS cdf FROM (
+            SELECT *, SUM(mass) OVER (PARTITION BY {keys} ORDER BY i) AS upto FROM e_mass) GROUP BY {keys}""",
+        "halved0": f"""SELECT *, CAST(-1 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high
+            FROM c_cells JOIN e_cells USING ({keys}), (VALUES (0.025), (0.975)) l(level)""",
+    }
+    for step in range(steps):
+        parts[f"halved{step + 1}"] = f"""SELECT * EXCLUDE (f) REPLACE (CASE WHEN f < level THEN (low + high) / 2 ELSE low END AS low,
+            CASE WHEN f < level THEN high ELSE (low + high) / 2 END AS high) FROM (SELECT *, list_sum(list_transform(cells,
+            lambda c: c.mass * {at_most})) AS f FROM halved{step})"""
+    parts["bounds"] = f"""SELECT {keys}, MIN((low + high) / 2) AS low, MAX((low + high) / 2) AS high FROM halved{steps} GROUP BY {keys}"""
+    return parts
+
+
 def overall(cutoff: bool) -> tuple[str, dict[str, str]]:
     matured = "dt <= (SELECT MAX(dt) FROM long) - day" if cutoff else "TRUE"
     kept = f"""SELECT * FROM long WHERE {matured} AND ((SELECT COUNT(DISTINCT dt) FROM long) <= 2 OR dt NOT IN
@@ -247,6 +282,10 @@ def _retention() -> dict[str, str]:
             ROUND(((er + 1) / (eu + 2) - (cr + 1) / (cu + 2)) / ((cr + 1) / (cu + 2)), 6) AS uplift,
             ROUND({WIN}, 6) AS chance_to_win FROM sides"""
         result[f"{name}_wins"] = with_views(wins, **parts, **more, sides=sides)
+        full = """SELECT r.*, w.uplift, ROUND(b.low / ((cr + 1) / (cu + 2)), 6) AS uplift_ci_lower,
+            ROUND(b.high / ((cr + 1) / (cu + 2)), 6) AS uplift_ci_upper, w.chance_to_win FROM rows r
+            JOIN wins w USING (dt, variation) JOIN sides USING (dt, variation) LEFT JOIN bounds b USING (dt, variation)"""
+        result[name] = with_views(full, **parts, **more, sides=sides, rows=body, wins=wins, **bounds("dt, variation"))
     for name, parts, cutoff in (("r8_new_user_overall", R1_PARTS, True), ("r9_active_user_overall", R2_PARTS, True),
                                 ("r9_active_user_overall_uncut", R2_PARTS, False)):
         body, more = overall(cutoff)
@@ -673,6 +712,29 @@ def _statistics() -> dict[str, str]:
     t2 = f"""SELECT country, eu AS users, er AS payers, cu AS control_users, cr AS control_payers,
         ROUND(((er + 1) / (eu + 2) - (cr + 1) / (cu + 2)) / ((cr + 1) / (cu + 2)), 6) AS uplift,
         ROUND({WIN}, 6) AS chance_to_win FROM sides"""
+    t2_bounds = """SELECT country, ROUND(low / ((cr + 1) / (cu + 2)), 6) AS uplift_ci_lower,
+        ROUND(high / ((cr + 1) / (cu + 2)), 6) AS uplift_ci_upper FROM sides JOIN bounds USING (country)"""
+    bits = "18446744073709551616::UHUGEINT"
+
+    def mixed(source: str) -> str:
+        """SplitMix64 of column h, in 64 bits."""
+        text = f"SELECT * REPLACE (((h::UHUGEINT + 11400714819323198485::UHUGEINT) % {bits})::UBIGINT AS h) FROM ({source})"
+        for shift, factor in ((30, "13787848793156543929"), (27, "10723151780598845931")):
+            text = f"""SELECT * REPLACE (((xor(h, h >> {shift}::UBIGINT)::UHUGEINT * {factor}::UHUGEINT) % {bits})::UBIGINT AS h)
+                FROM ({text})"""
+        return f"SELECT * REPLACE (xor(h, h >> 31::UBIGINT) AS h) FROM ({text})"
+
+    keys = mixed("SELECT *, ('0x' || SUBSTR(MD5(CAST(user_id AS VARCHAR)), 1, 16))::UBIGINT AS h FROM sample")
+    steps = mixed("SELECT i AS resample, i::UBIGINT AS h FROM generate_series(1, 10000) g(i)")
+    both = mixed(f"SELECT k.* EXCLUDE (h), s.resample, xor(k.h, s.h) AS h FROM ({keys}) k, ({steps}) s")
+    # A hash above 1 - P(more than k draws) stands for more than k draws of a Poisson(1) variable.
+    tails = [sum(exp(-1) / factorial(j) for j in range(k + 30, k, -1)) * 2**64 for k in range(40)]
+    drawn = f"SELECT *, {' + '.join(f'(h >= {2**64 - int(t)}::UBIGINT)::INT' for t in tails if t >= 1)} AS times FROM ({both})"
+    t10 = rounded("""SELECT AVG(d) AS mean_diff, QUANTILE_CONT(d, 0.025) AS ci_low, QUANTILE_CONT(d, 0.975) AS ci_high,
+        AVG((d > 0)::INT) AS boot_prob FROM (SELECT resample,
+            SUM(times * user_aov) FILTER (variation_id = 1) / NULLIF(SUM(times) FILTER (variation_id = 1), 0)
+            - SUM(times * user_aov) FILTER (variation_id = 0) / NULLIF(SUM(times) FILTER (variation_id = 0), 0) AS d
+            FROM drawn GROUP BY 1)""", "mean_diff ci_low ci_high boot_prob")
     averages = """SELECT n_name AS country, n_regionkey AS region, AVG(value) AS m FROM events
         JOIN nation ON n_nationkey = user_id % 25 GROUP BY 1, 2"""
     pairs = """SELECT e.country, e.m, c.m AS cm FROM averages e JOIN averages c ON c.region = e.region
@@ -692,6 +754,8 @@ def _statistics() -> dict[str, str]:
         "t9_posterior_difference_probability": with_views(t9_p, sample=sample, moments=moments, base=t9),
         "t11_rank_test_p_value": with_views(t11_p, sample=sample, base=t11.replace(", 6) AS", ", 12) AS")),
         "t1_proportion_interval": with_views(t1),
+        "t2_beta_interval": with_views(t2_bounds, payers=payers, sides=sides, **bounds("country")),
+        "t10_bootstrap": with_views(t10, sample=sample, drawn=drawn),
         "t4_t5_uplifts": with_views("""SELECT day, SUM(er)::BIGINT AS pooled_retained, SUM(eu)::BIGINT AS pooled_users,
             CASE WHEN MAX(cr) > 0 THEN ROUND((SUM(er) / SUM(eu) - MAX(cr) / MAX(cu)) / (MAX(cr) / MAX(cu)), 6) ELSE 0 END
             AS freq_uplift FROM sides GROUP BY 1""", **R2_PARTS, **overall(True)[1]),
@@ -714,12 +778,12 @@ DOCUMENTS = """SELECT o_orderkey AS position, 'exp_' || o_orderkey AS name,
     CASE WHEN o_orderkey % 5 = 0 THEN NULL
         ELSE strftime(o_orderdate + to_days(CAST(o_orderkey % 120 AS INT)), '%Y-%m-%dT12:%M:%S') || '.25Z' END AS end_text
     FROM orders"""
-AS_OF = "TIMESTAMP '2001-01-10 08:00:00'"
+AS_OF = "TIMESTAMP '2001-08-02 08:00:00'"
 
 
 def _catalog() -> dict[str, str]:
     started = "TRY_CAST(SUBSTR(CASE WHEN start_text = 'soon' THEN NULL ELSE start_text END, 1, 19) AS TIMESTAMP)"
-    tagged = f"SELECT *, {started} AS started FROM (SELECT *, UNNEST(tags) AS tag FROM documents)"
+    tagged = f"SELECT *, {started} AS started FROM (SELECT *, UNNEST(list_transform(tags, lambda t: TRIM(t))) AS tag FROM documents)"
     latest = """SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY tag ORDER BY started DESC NULLS LAST, position) AS rn
         FROM tagged) WHERE rn = 1"""
     ended = f"SELECT *, COALESCE(CAST(SUBSTR(end_text, 1, 19) AS TIMESTAMP), {AS_OF}) AS ended FROM latest WHERE started IS NOT NULL"
@@ -734,6 +798,8 @@ def _catalog() -> dict[str, str]:
     published = """SELECT experiment_name, tags, phase_start_time, phase_end_time, number_of_variations, control_group_key
         FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY experiment_name, tags ORDER BY tag) AS rn FROM described) WHERE rn = 1"""
     return {
+        "m8_m10_stored_and_looked_up": with_views(
+            "SELECT tag, experiment_name, phase_start_time, phase_end_time, number_of_variations FROM described", **parts),
         "m1_documents_by_tag": with_views("SELECT name, tag, started FROM tagged", **parts),
         "m3_latest_by_tag": with_views("SELECT tag, name, started FROM latest", **parts),
         "m4_eligible": with_views("SELECT tag, name, started, ended FROM kept", **parts),
@@ -741,7 +807,7 @@ def _catalog() -> dict[str, str]:
         "m6_m7_with_overrides": with_views(f"SELECT * FROM described UNION ALL ({overrides})", **parts),
         "s3_exported_documents": with_views("SELECT * FROM described", **parts),
         "m7_as_published": with_views(published, **parts),
-        "m9_tags": with_views("SELECT DISTINCT TRIM(tag) AS tag FROM described", **parts),
+        "m9_tags": with_views("SELECT DISTINCT tag FROM described", **parts),
         "m10_lookup": with_views("SELECT * FROM described WHERE tag = 'team_3'", **parts),
     }
 
@@ -766,7 +832,12 @@ def _publication(found: dict[str, str]) -> dict[str, str]:
     }
 
 
+HARD = ("t4_t5_uplifts", "r8_new_user_overall", "g3_recharge_uplift", "v2_ads_uplift", "c1_click_rate", "c2_start_rate",
+        "c3_chat_depth", "e6_regenerations", "b8_new_user_payment_rate", "r3_country_retention")
+
+
 def oracle_sql() -> dict[str, str]:
     found = {**_assignments(), **_windows(), **_retention(), **_business(), **_subscription(), **_phase_sums(),
              **_engagement(), **_chat(), **_statistics(), **_catalog()}
+    found.update({f"{name}_hard": on_hard_events(found[name]) for name in HARD})
     return {name: half_up(text) for name, text in {**found, **_publication(found)}.items()}

@@ -69,6 +69,27 @@ VIEWS = {
 }
 
 
+HARD_EVENTS = """SELECT event_id, ts, CASE WHEN event_id % 29 <> 0 THEN user_id END AS user_id, event_type, value
+    FROM events CROSS JOIN (VALUES (1), (2)) copies(n) WHERE n = 1 OR event_id % 7 = 0"""
+HARD_VIEWS = {
+    "v_assignment": """SELECT user_id, 'exp_a' AS experiment_id, CASE WHEN event_id % 31 = 0 THEN NULL
+        WHEN CAST(ts AS DATE) > DATE '2024-01-28' THEN 3
+        ELSE CAST((user_id + CASE WHEN event_id % 17 = 0 THEN 1 ELSE 0 END) % 3 AS INT) END AS variation_id,
+        ts AS timestamp_assigned, CAST(ts AS DATE) AS event_date FROM events WHERE event_type IN ('signup', 'view')""",
+    "v_chat": VIEWS["v_chat"].replace("event_id % 5 AS prompt_id", "event_id % 40 AS prompt_id"),
+    "v_bot_view": VIEWS["v_bot_view"].replace("event_id % 5 AS bot_id", "event_id % 40 AS bot_id"),
+}
+
+
+def on_hard_events(sql: str) -> str:
+    """The same SQL over events with repeated deliveries, NULLs, more variations and more bots."""
+    for name, text in HARD_VIEWS.items():
+        sql = sql.replace(VIEWS[name], text)
+    if not sql.startswith("WITH "):
+        raise ValueError("views are expected in front")
+    return f"WITH hard_events AS ({HARD_EVENTS}), " + re.sub(r"\bevents\b", "hard_events", sql[len("WITH "):])
+
+
 def with_views(body: str, **named: str) -> str:
     """``body`` behind the views it needs and the ``named`` common table expressions."""
     needed: list[str] = []

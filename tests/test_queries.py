@@ -27,6 +27,12 @@ def test_runs_without_sql_counterpart(spark, name):
     assert QUERIES[name](spark, FOLDER).count() > 0
 
 
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_no_catalog_query_is_empty(spark, folder):
+    names = [n for n in QUERIES if n[0] in "ms" and n[1].isdigit()]
+    assert len(names) > 8 and not [n for n in names if QUERIES[n](spark, folder).isEmpty()]
+
+
 KEYS = {"dt", "event_date", "event_day", "sub_date", "variation", "variation_id", "country", "day"}
 
 

@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from compare import connect, difference
 from oracles.queries import queries
 from oracles.sql import oracle_sql
+from trialmetrics import Tables
+from trialmetrics.plans import chat
+from trialmetrics.sources.fixtures import PHASE, fixture_tables
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, SQL = queries(), oracle_sql()
 PYTHON = {"r6_new_user_report", "r7_active_user_report", "r6_new_user_report_wins", "r7_active_user_report_wins",
           "r8_new_user_overall", "r9_active_user_overall", "r9_active_user_overall_uncut",
-          "g3_recharge_evaluation", "v2_ads_evaluation", "t2_beta_comparison", "t3_assumed_normal_win", "t7_regression_p_values", "t8_mean_tests_p_values",
+          "r8_new_user_overall_hard", "g3_recharge_evaluation", "v2_ads_evaluation", "t2_beta_comparison", "t2_beta_interval", "t3_assumed_normal_win", "t7_regression_p_values", "t8_mean_tests_p_values",
           "t9_posterior_difference_probability", "t10_bootstrap", "t11_rank_test_p_value"}
 # Written before they are returned, so that the plan is a scan of the result.
-WRITTEN = {"s3_exported_documents", "s4_s5_csv_round_trip", "s6_published_twice"}
+WRITTEN = {"m8_m10_stored_and_looked_up", "s3_exported_documents", "s4_s5_csv_round_trip", "s6_published_twice"}
 
 
 @pytest.fixture
@@ -54,9 +57,23 @@ def test_days_prune_the_scan(spark):
     assert plan.count("GreaterThanOrEqual(ts,2024-01-03") == 2 and plan.count("LessThan(ts,2024-01-28") == 2
 
 
+def test_click_rate_reads_assignments_of_its_days(spark, tmp_path):
+    """Of other days only the variations are read, not the users."""
+    plain = fixture_tables(spark, FOLDER)
+    plain["assignment"].write.parquet(f"{tmp_path}/assignment")
+    t = Tables(spark, lambda name: Tables.in_folder(spark, str(tmp_path))[name] if name == "assignment" else plain[name])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = plan_of(chat.click_rate(t, PHASE))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "variation_id" in line]
+    assert len(scans) == 2
+    for scan in scans:
+        assert ("timestamp_assigned" in scan.split("ReadSchema")[1]) == ("GreaterThanOrEqual(event_date,2024-01-03)" in scan)
+
+
 @pytest.fixture(scope="module")
 def skewed(spark, tmp_path_factory):
-    """The test tables with a third of all events given to one user, and some delivered twice."""
+    """The test tables with a third of all events given to one user."""
     folder = str(tmp_path_factory.mktemp("skewed"))
     events = spark.read.parquet(f"{FOLDER}/events.parquet")
     moved = events.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, 4).otherwise(F.col("user_id")))

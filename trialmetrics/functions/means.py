@@ -55,17 +55,23 @@ def student_p(t: float, df: float) -> float:
     return float(incomplete_beta(df / 2, 0.5, np.array([df / (df + t * t)]))[0])
 
 
+def number(value: str) -> Column:
+    """A value of a sample, NULL if it is not a number, so that aggregates leave it out."""
+    return F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
+
+
 def group_moments(sample: DataFrame, value: str = "user_aov", group: str = "variation_id") -> DataFrame:
     """T12. Size, mean and sample variance per variation."""
+    mine = number(value)
     return sample.groupBy(group).agg(
-        F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_samp(value).alias("variance"))
+        F.count(mine).alias("n"), F.avg(mine).alias("mean"), F.var_samp(mine).alias("variance"))
 
 
 def _two_groups(sample: DataFrame, value: str, group: str, control: int, treatment: int) -> DataFrame:
     """One row: n, mean and variance of control (a) and treatment (b). One pass, no join."""
     parts = []
     for side, key in (("a", control), ("b", treatment)):
-        mine = F.when(F.col(group) == key, F.col(value))
+        mine = F.when(F.col(group) == key, number(value))
         parts += [F.count(mine).alias(f"n_{side}"), F.avg(mine).alias(f"mean_{side}"),
                   F.var_samp(mine).alias(f"var_{side}")]
     return sample.agg(*parts)
@@ -107,7 +113,7 @@ def posterior_difference(sample: DataFrame, value: str = "user_aov", group: str
 def linear_regression(sample: DataFrame, value: str = "user_aov", group: str = "variation_id",
                       p_values: bool = True) -> DataFrame:
     """T7. Least squares of the value on the variation and an intercept; one row per coefficient."""
-    y, x = F.col(value), F.col(group).cast("double")
+    y, x = number(value), number(group)
     fit = sample.agg(
         F.regr_count(y, x).alias("n"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
         F.regr_r2(y, x).alias("r2"), F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"),

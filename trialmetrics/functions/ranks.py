@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from trialmetrics.functions.means import _two_sided_normal
+from trialmetrics.functions.means import _two_sided_normal, number
 
 
 def rank_test(sample: DataFrame, value: str = "user_aov", group: str = "variation_id",
-              control: int = 0, treatment: int = 1, buckets: int = 256, p_value: bool = True) -> DataFrame:
+              control: int = 0, treatment: int = 1, buckets: int | None = None, p_value: bool = True) -> DataFrame:
     """One row: U of the control, z with continuity and tie correction, two-sided p.
 
     U counts the pairs in which the control's value is the greater one, a tie as half.
     Rows are first counted per distinct value. The distinct values are cut into buckets of
     about equal size at approximate quantiles; the treatment's rows below a value are those
     in the buckets below and those before it in its bucket. No task ever sorts all the
-    values: the only window over everything has one row per bucket.
+    values: the only window over everything has one row per bucket. There are four buckets for
+    each shuffle partition of the session, so that a larger cluster is busy with smaller ones.
     """
+    buckets = buckets or 4 * int(sample.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = (
-        sample.filter(F.col(group).isin(control, treatment)).select(F.col(value).cast("double").alias("v"), group)
+        sample.filter(F.col(group).isin(control, treatment)).select(number(value).alias("v"), group)
         .filter(F.col("v").isNotNull()).groupBy("v")
         .agg(F.count(F.when(F.col(group) == control, 1)).alias("a"), F.count(F.when(F.col(group) != control, 1)).alias("b"))
     )

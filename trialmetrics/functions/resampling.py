@@ -9,11 +9,23 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from trialmetrics.functions.means import number
+
 # Rows at a time, so that a block of draws stays in a core's cache.
 _BLOCK = 8
-# A hash at or above the k-th limit stands for more than k draws of a Poisson(1) variable;
-# more than 20 have a probability below 1e-19.
-_LIMITS = (np.minimum(np.cumsum([exp(-1) / factorial(k) for k in range(21)]), 1 - 2.0**-53) * 2.0**64).astype(np.uint64)
+
+
+def _limits() -> np.ndarray:
+    """A hash at or above the k-th limit stands for more than k draws of a Poisson(1) variable, for as many
+    k as a hash of 64 bits can tell apart."""
+    limits, k = [], 0
+    while (tail := sum(exp(-1) / factorial(j) for j in range(k + 30, k, -1)) * 2**64) >= 1:
+        limits.append(2**64 - int(tail))
+        k += 1
+    return np.array(limits, np.uint64)
+
+
+_LIMITS = _limits()
 
 
 def bootstrap_mean_difference(sample: DataFrame, value: str = "user_aov", group: str = "variation_id",
@@ -23,17 +35,24 @@ def bootstrap_mean_difference(sample: DataFrame, value: str = "user_aov", group:
 
     Each row is drawn a Poisson(1) number of times in each resample, decided by a hash of
     its ``key``, the resample and ``seed``: the result does not depend on how rows are
-    partitioned, and a task that is run again draws the same. A task emits only its
-    weighted sums, so what is shuffled grows with tasks and resamples, not with rows.
+    partitioned, and a task that is run again draws the same. Values that are no number are
+    left out, and a row without a key is an error: all of them would be drawn together.
+    The work is rows x resamples. A task emits only its weighted sums: rows are first dealt to
+    as many tasks as the session has shuffle partitions, or fewer, so that what is shuffled grows
+    with those and the resamples, not with the splits of the input.
     """
-    rows = sample.filter(F.col(group).isin(control, treatment) & F.col(value).isNotNull()).select(
-        F.xxhash64(key).alias("row"), (F.col(group) == treatment).alias("treated"),
-        F.col(value).cast("double").alias("value"))
+    spark = sample.sparkSession
+    no_key = F.raise_error(F.lit(f"a row of the sample has no {key}")).cast("string")
+    rows = sample.filter(F.col(group).isin(control, treatment) & number(value).isNotNull()).select(
+        F.md5(F.coalesce(F.col(key).cast("string"), no_key).cast("binary")).alias("row"),
+        (F.col(group) == treatment).alias("treated"), number(value).alias("value"))
+    rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "row")
 
     def weighted_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros((4, resamples))
         for batch in batches:
-            keys, values, treated = (batch[c].to_numpy() for c in ("row", "value", "treated"))
+            values, treated = (batch[c].to_numpy() for c in ("value", "treated"))
+            keys = np.array([int(digits[:16], 16) for digits in batch["row"]], np.uint64)
             weights = np.stack([~treated, ~treated * values, treated, treated * values]).astype("float64")
             for start in range(0, len(batch), _BLOCK):
                 block = slice(start, start + _BLOCK)
@@ -51,7 +70,7 @@ def bootstrap_mean_difference(sample: DataFrame, value: str = "user_aov", group:
 
 def poisson_draws(rows: np.ndarray, resamples: int, seed: int) -> np.ndarray:
     """Poisson(1) counts, one row per input row and one column per resample."""
-    base = _mixed(rows.astype(np.int64).view(np.uint64) + np.uint64(seed))
+    base = _mixed(rows.astype(np.uint64) + np.uint64(seed))
     step = _mixed(np.arange(1, resamples + 1, dtype=np.uint64))
     mixed = _mixed(base[:, None] ^ step[None, :])
     draws, above = np.zeros(mixed.shape), np.empty(mixed.shape, dtype=bool)

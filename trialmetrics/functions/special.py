@@ -40,5 +40,5 @@ def _fraction(a: float, b: float, x: np.ndarray) -> np.ndarray:
         c = np.where(c == 0, _TINY, c)
         value = value * c * d
         if k and np.abs(1 - c * d).max() < 1e-15:
-            break
-    return front * (value - 1)
+            return front * (value - 1)
+    raise ArithmeticError(f"no convergence of the incomplete beta function for a={a}, b={b}")

@@ -2,8 +2,9 @@
 
 The rows kept are those that ROW_NUMBER() = 1 would keep, but written as MIN over a
 struct: it is combined on the map side, so that a user who holds a large share of the
-assignment rows still reaches the shuffle as one row per map task, and needs no sort of
-the rows of one user. Ties always end on ``timestamp_assigned, variation_id``.
+assignment rows still reaches the shuffle as one row per map task. Spark plans it as a
+sort-based aggregate, so a task sorts its own rows first. Ties always end on
+``timestamp_assigned, variation_id``.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from trialmetrics.sources.tables import Tables
 # policy -> (grain, order); an order column that sorts descending is given negated
 POLICIES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "user_first": (("user_id",), ("timestamp_assigned",)),
-    "user_latest_day": (("user_id",), ("-unix_date(event_date) AS age", "timestamp_assigned")),
+    "user_latest_day": (("user_id",), ("event_date IS NULL AS undated", "-unix_date(event_date) AS age", "timestamp_assigned")),
     "user_first_day": (("user_id",), ("event_date", "timestamp_assigned")),
     "daily_first": (("user_id", "event_date"), ("timestamp_assigned",)),
     "daily_lowest": (("user_id", "event_date"), ()),

@@ -137,7 +137,10 @@ def lifetime_value(t: Tables, exp: Experiment) -> DataFrame:
 
 
 def _geo(t: Tables, days: Days) -> DataFrame:
-    return t["geo"].filter(days.contain("event_date")).select(*USER_DAY, "country").distinct()
+    """Countries of each user and day. One exchange, which the joins on user and day share; the array
+    holds the countries of one user-day. A struct, since a set leaves out NULLs."""
+    seen = t["geo"].filter(days.contain("event_date")).groupBy(*USER_DAY).agg(F.collect_set(F.struct("country")).alias("seen"))
+    return seen.select(*USER_DAY, F.inline("seen"))
 
 
 def payment_rate_by_country(t: Tables, exp: Experiment) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from trialmetrics.experiment import Experiment
 from trialmetrics.operators.windows import moment
@@ -21,24 +21,31 @@ def parsed_time(text: Column) -> Column:
 
 
 def by_tag(documents: DataFrame) -> DataFrame:
-    """M1. One row per document and tag, with the start of the last phase."""
+    """M1. One row per document and tag, with the start of the last phase.
+
+    Tags are known without surrounding blanks from here on; a document has each of them once.
+    """
     start = parsed_time(F.try_element_at("phases", F.lit(-1))["dateStarted"])
-    return documents.withColumn("started", start).withColumn("tag", F.explode("tags"))
+    trimmed = F.array_distinct(F.transform("tags", lambda tag: F.trim(tag)))
+    return documents.withColumn("started", start).withColumn("tag", F.explode(trimmed))
 
 
 def latest_by_tag(documents: DataFrame) -> DataFrame:
     """M3. Per tag the document whose last phase started latest, unknown starts last.
 
-    Among equal starts the first in input order. MAX over a struct is combined on the map
-    side, so a tag that most documents carry is no hot spot.
+    Among equal starts the first in input order. Only starts and positions are aggregated, and
+    combined on the map side, so a tag that most documents carry is no hot spot; the
+    documents are joined to the winners by their positions.
     """
     rows = by_tag(documents)
-    columns = [c for c in rows.columns if c != "tag"]
     known = F.col("started").isNotNull()
     order = [(~known).alias("unknown"),
              F.when(known, -F.unix_seconds(F.col("started").cast("timestamp"))).alias("recency"), F.col("position")]
-    best = rows.groupBy("tag").agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("best"))
-    return best.select("tag", "best.*")
+    best = rows.groupBy("tag").agg(F.min(F.struct(*order)).alias("best")).select(
+        F.col("tag").alias("best_tag"), F.col("best.position").alias("best_position"))
+    same = F.col("tag").eqNullSafe(F.col("best_tag")) & F.col("position").eqNullSafe(F.col("best_position"))
+    found = rows.join(best, same).drop("best_tag", "best_position")
+    return found.select("tag", *[c for c in found.columns if c != "tag"])
 
 
 def eligible(latest: DataFrame, as_of: datetime) -> DataFrame:
@@ -92,13 +99,13 @@ def first_of_each(table: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def tags(table: DataFrame) -> DataFrame:
-    """M9. All tags without surrounding blanks."""
-    return table.select(F.trim("tag").alias("tag")).distinct()
+    """M9. All tags."""
+    return table.select("tag").distinct()
 
 
 def lookup(table: DataFrame, tag: str) -> DataFrame:
     """M10. The experiment of a tag, the one started last if there are several."""
-    return (table.filter(F.col("tag") == tag)
+    return (table.filter(F.col("tag") == tag.strip(" "))
             .orderBy(F.col("phase_start_time").desc(), "experiment_name").limit(1))
 
 
@@ -107,4 +114,21 @@ def experiment_for(table: DataFrame, tag: str) -> Experiment:
     row = lookup(table, tag).first()
     if row is None:
         raise LookupError(f"no experiment has the tag {tag!r}")
-    return Experiment(row.experiment_name, tag, row.phase_start_time, row.phase_end_time, row.number_of_variations)
+    return _record(row)
+
+
+def _record(row: Row) -> Experiment:
+    return Experiment(row.experiment_name, row.tag, row.phase_start_time, row.phase_end_time, row.number_of_variations)
+
+
+def store(table: DataFrame, path: str) -> DataFrame:
+    """M8. Replace the stored experiment table and return it as stored."""
+    table.write.mode("overwrite").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def experiments(table: DataFrame) -> list[Experiment]:
+    """The experiment of each tag of a stored table, in the order of the tags."""
+    latest = Window.partitionBy("tag").orderBy(F.col("phase_start_time").desc(), "experiment_name")
+    rows = table.filter("tag IS NOT NULL").withColumn("rank", F.row_number().over(latest)).filter("rank = 1")
+    return [_record(row) for row in rows.orderBy("tag").toLocalIterator()]

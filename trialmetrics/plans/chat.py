@@ -11,7 +11,7 @@ from trialmetrics.experiment import Experiment
 from trialmetrics.functions.ratios import half_up, money, money_of, ratio, ratio_or_zero, total, total_of
 from trialmetrics.operators import assignment, windows
 from trialmetrics.operators.events import (
-    USER_DAY, counted_by_entity, day_spine, distinct_ids, flagged_new, of, on_every_day, stacked)
+    USER_DAY, counted_by_entity, day_spine, distinct_ids, flagged_new, of, stacked)
 from trialmetrics.operators.windows import Days
 from trialmetrics.sources.tables import Tables
 
@@ -36,19 +36,22 @@ def _with_variation(rows: DataFrame, t: Tables, exp: Experiment, policy: str, da
 def click_rate(t: Tables, exp: Experiment) -> DataFrame:
     """C1. Clicks of users who were shown cards that day, per card shown.
 
-    Every variation ever assigned has a row per day: cards NULL and clicks 0 if idle.
+    Every variation ever assigned has a row per day: cards NULL and clicks 0 if idle. Of the
+    assignments of other days only the variations are read.
     """
     days = windows.inner(exp)
     facts = distinct_ids(shown=_on(t["show_card"], days), clicked=_on(t["bot_view"], days)).filter("shown > 0")
-    resolved = assignment.resolve(t, exp, "daily_first").withColumnRenamed("variation_id", "variation")
-    sums = flagged_new(resolved.join(facts, USER_DAY, "left"), t["first_visit"], days).groupBy(*GROUP).agg(
+    sums = _with_variation(facts, t, exp, "daily_first", days).groupBy(*GROUP).agg(
         F.sum("shown").alias("showed_events"), F.sum("clicked").alias("clicked_events"),
         total_of(NEW, "shown").alias("new_showed_events"), total_of(NEW, "clicked").alias("new_clicked_events"))
 
     def count(name: str) -> Column:
         return F.coalesce(name, F.lit(0).cast("bigint")).alias(name)
 
-    return on_every_day(sums, "variation", days).select(
+    groups = day_spine(assignment.variations(t, exp), days)
+    same = (F.col("event_date") == F.col("day")) & F.col("variation").eqNullSafe(F.col("variation_id"))
+    full = groups.join(sums.withColumnRenamed("event_date", "day"), same, "left")
+    return full.drop("day", "variation").withColumnRenamed("variation_id", "variation").select(
         *GROUP, "showed_events", count("clicked_events"),
         ratio("clicked_events", "showed_events", 4).alias("click_ratio"),
         count("new_showed_events"), count("new_clicked_events"),

@@ -24,10 +24,10 @@ def _cohort_day(day: str, offset: str) -> str:
     return f"named_struct('dt', {day}, {returned})"
 
 
-def _first_assignments(t: Tables, exp: Experiment) -> DataFrame:
-    """Per user the first assignment within the phase and the first one of all."""
+def _first_assignments(t: Tables, exp: Experiment, between: tuple[datetime, datetime] | None = None) -> DataFrame:
+    """Per user the first assignment within the phase, or other bounds, and the first one of all."""
     key = F.struct("timestamp_assigned", "variation_id")
-    in_phase = F.col("timestamp_assigned").between(*map(windows.moment, (exp.phase_start, exp.phase_end)))
+    in_phase = F.col("timestamp_assigned").between(*map(windows.moment, between or (exp.phase_start, exp.phase_end)))
     return (
         assignment.assignments(t, exp).groupBy("user_id")
         .agg(F.min(F.when(in_phase, key)).alias("phase"), F.min(key).alias("ever"))
@@ -109,27 +109,24 @@ def country_retention(t: Tables, exp: Experiment, distinct_totals: bool = True)
     days = windows.whole(exp)
     midnight = datetime.min.time()
     between = (datetime.combine(days.first, midnight), datetime.combine(days.last, midnight))
-    first = assignment.resolve(t, exp, "user_first", between=between)
-    country = F.get_json_object("geo", "$.country")
-    # A user's events repeat the same few texts: only distinct ones are parsed.
-    places = t["app_event"].filter(activity.has_id(t["app_event"])).select("user_id", "geo").distinct()
-    home = places.groupBy("user_id").agg(F.max(country).alias("country"))
+    # The country is parsed before the shuffle, so that a user's events reach it as one value a task.
+    home = (t["app_event"].filter(activity.has_id(t["app_event"])).groupBy("user_id")
+            .agg(F.max(F.get_json_object("geo", "$.country")).alias("country")))
     bits = activity.active_bits(t["active"], days.widened(after=max(HORIZONS)))
-    cohort = (
-        first.filter(F.col("variation_id").isNotNull())
-        .join(home.filter(F.col("country").isNotNull()), "user_id").join(bits, "user_id")
-        .select(F.col("variation_id").alias("variation"), "country", F.expr(f"inline({_active_days(days)})"))
-        .groupBy("dt", "variation", "country")
-        .agg(F.count("*").alias("new_users"), *[F.sum(f"d{n}").alias(f"d{n}") for n in HORIZONS])
+    member = "variation IS NOT NULL AND country IS NOT NULL AND bits IS NOT NULL"
+    users = (
+        _first_assignments(t, exp, between).join(home, "user_id", "left").join(bits, "user_id", "left")
+        .withColumn("cohort", F.expr(f"CASE WHEN {member} THEN {_active_days(days)} END"))
     )
+    report = _cohort_report(users, ["country"])
     if distinct_totals:
-        assigned = _first_assignments(t, exp).select(
-            F.col("assigned_on").alias("dt"), F.col("assigned_to").alias("variation"))
-    else:
-        assigned = assignment.assignments(t, exp).select(
-            "user_id", F.to_date("timestamp_assigned").alias("dt"), F.col("variation_id").alias("variation")).distinct()
+        everywhere = F.sum("total_assigned").over(Window.partitionBy(*KEYS))
+        return report.withColumn("total_assigned", everywhere).filter("new_users > 0")
+    assigned = assignment.assignments(t, exp).select(
+        "user_id", F.to_date("timestamp_assigned").alias("dt"), F.col("variation_id").alias("variation")).distinct()
     totals = assigned.groupBy(*KEYS).agg(F.count("*").alias("total_assigned"))
-    return cohort.join(totals, KEYS, "left").withColumn("total_assigned", F.coalesce("total_assigned", F.lit(0)))
+    return report.drop("total_assigned").filter("new_users > 0").join(totals, KEYS, "left").withColumn(
+        "total_assigned", F.coalesce("total_assigned", F.lit(0)))
 
 
 def merge_partials(partials: DataFrame, keys: list[str] = KEYS) -> DataFrame:

@@ -61,7 +61,12 @@ def publish_table(report: DataFrame, table: str, tag: str) -> None:
 def published(spark: SparkSession, root: str, metric: str, tag: str | None = None) -> DataFrame:
     """The rows of a metric, of all tags (with column ``tag``) or of one."""
     folder = f"{root}/{checked_tag(metric)}"
-    return spark.read.parquet(folder if tag is None else f"{folder}/tag={checked_tag(tag)}")
+    if tag is not None:
+        return spark.read.parquet(f"{folder}/tag={checked_tag(tag)}")
+    # Found in the path alone, a tag such as 0123 would be read as a number.
+    columns = spark.read.parquet(folder).schema.fields
+    text = T.StructType([T.StructField("tag", T.StringType()) if f.name == "tag" else f for f in columns])
+    return spark.read.schema(text).parquet(folder)
 
 
 def typed(report: DataFrame, schema: T.StructType) -> DataFrame:
@@ -78,5 +83,7 @@ def with_headings(report: DataFrame, headings: dict[str, str]) -> DataFrame:
     return report.withColumnsRenamed(headings)
 
 
-def export_csv(report: DataFrame, path: str) -> None:
-    report.repartition(1).write.mode("overwrite").csv(path, header=True)
+def export_csv(report: DataFrame, path: str, one_file: bool = False) -> None:
+    """Write as CSV with a header line in each file; ``one_file`` is for reports of a few rows."""
+    report = report.repartition(1) if one_file else report
+    report.write.mode("overwrite").csv(path, header=True)

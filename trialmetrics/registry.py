@@ -5,13 +5,15 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import datetime
 from functools import partial
 
 from pyspark.sql import DataFrame
 
 from trialmetrics.experiment import Experiment
-from trialmetrics.plans import ads, business, chat, engagement, recharge, retention, subscription
+from trialmetrics.plans import ads, business, catalog, chat, engagement, recharge, retention, subscription
 from trialmetrics.publish import publish, published
 from trialmetrics.sources.tables import Tables
 
@@ -112,22 +114,53 @@ def run_report(t: Tables, exp: Experiment, name: str, root: str) -> None:
     publish(report, root, name, exp.tag)
 
 
-def run_all(t: Tables, experiments: Iterable[Experiment], root: str,
-            names: Iterable[str] | None = None) -> RunLog:
+class BaseFailed(RuntimeError):
+    """A derived report was not made, because what is published of its base is of an earlier run."""
+
+
+def run_all(t: Tables, experiments: Iterable[Experiment], root: str, names: Iterable[str] | None = None,
+            at_once: int = 4, share: bool = True) -> RunLog:
     """Every report for every experiment. One failure does not stop the others; all of
-    them are raised together at the end."""
-    run = RunLog()
-    names = list(names or REPORTS)
-    for exp in experiments:
-        for name in names:
-            started = time.perf_counter()
-            try:
-                run_report(t, exp, name, root)
-            except Exception as error:
-                log.exception("%s failed for %s", name, exp.tag)
-                run.failures[exp.tag, name] = error
-            run.seconds[exp.tag, name] = time.perf_counter() - started
-            log.info("%s for %s: %.1f s", name, exp.tag, run.seconds[exp.tag, name])
+    them are raised together at the end.
+
+    A derived report is made after its base, which is run even if it is not among ``names``;
+    if the base fails, so does the derived report, and its last published rows stay. ``at_once``
+    reports are submitted together. With ``share`` an assignment that several reports need is
+    resolved once and removed at the end.
+    """
+    run, names, experiments = RunLog(), list(names or REPORTS), list(experiments)
+    derived = [name for name in names if isinstance(REPORTS[name], Derived)]
+    first = list(dict.fromkeys([*(n for n in names if n not in derived), *(REPORTS[n].base for n in derived)]))
+    tables = t.sharing() if share else t
+
+    def made(job: tuple[Experiment, str]) -> None:
+        exp, name = job
+        started = time.perf_counter()
+        try:
+            if name in derived and (exp.tag, REPORTS[name].base) in run.failures:
+                raise BaseFailed(f"{REPORTS[name].base} failed")
+            run_report(tables, exp, name, root)
+        except Exception as error:
+            log.exception("%s failed for %s", name, exp.tag)
+            run.failures[exp.tag, name] = error
+        run.seconds[exp.tag, name] = time.perf_counter() - started
+        log.info("%s for %s: %.1f s", name, exp.tag, run.seconds[exp.tag, name])
+
+    try:
+        with ThreadPoolExecutor(at_once) as pool:
+            for step in (first, derived):
+                list(pool.map(made, [(exp, name) for exp in experiments for name in step]))
+    finally:
+        if share:
+            tables.release()
     if run.failures:
         raise RunFailed(run)
     return run
+
+
+def run_documents(t: Tables, documents: DataFrame, as_of: datetime, root: str, overrides: DataFrame | None = None,
+                  **options) -> RunLog:
+    """From experiment documents to published reports: the experiment table is made and stored, and every
+    report is run for the experiment of every tag in it."""
+    table = catalog.store(catalog.experiment_table(documents, as_of, overrides), f"{root}/experiments")
+    return run_all(t, catalog.experiments(table), root, **options)

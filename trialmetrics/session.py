@@ -54,6 +54,12 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="run-")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds, wherever the session's file systems keep it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of the written table.
 

@@ -12,11 +12,11 @@ def read_experiment_documents(spark: SparkSession, path: str, one_per_file: bool
 
     ``position`` orders them: pages by their offset (by file name if it is missing), and
     documents as they stand in the page. A file holds one response, however many lines it
-    takes, or one per line.
+    takes, or one per line. A response that cannot be read in full is an error.
     """
     response = T.StructType([T.StructField("experiments", T.ArrayType(EXPERIMENT_DOCUMENTS)),
                              T.StructField("offset", T.LongType())])
-    pages = spark.read.schema(response).json(path, multiLine=one_per_file).select(
+    pages = spark.read.schema(response).json(path, multiLine=one_per_file, mode="FAILFAST").select(
         "offset", F.input_file_name().alias("file"), "experiments")
     documents = pages.select("offset", "file", F.posexplode("experiments").alias("index", "document"))
     return documents.select(F.struct("offset", "file", "index").alias("position"), "document.*")

@@ -21,8 +21,11 @@ def _nth(divisor: int) -> Column:
     return F.col("event_id") % divisor
 
 
-def fixture_tables(spark: SparkSession, folder: str, **options) -> Tables:
+def fixture_tables(spark: SparkSession, folder: str, hard: bool = False, **options) -> Tables:
+    """``hard`` adds what the plain events lack: events delivered twice, users and variations that are
+    NULL, a third variation and one that is idle in the phase, and more bots."""
     day = F.to_date("ts").alias("event_date")
+    bots = 40 if hard else 5
 
     @cache
     def raw(name: str) -> DataFrame:
@@ -30,6 +33,9 @@ def fixture_tables(spark: SparkSession, folder: str, **options) -> Tables:
 
     def events(*kinds: str) -> DataFrame:
         rows = raw("events")
+        if hard:
+            rows = rows.withColumn("user_id", F.when(_nth(29) != 0, F.col("user_id")))
+            rows = rows.union(rows.filter(_nth(7) == 0))
         return rows.filter(F.col("event_type").isin(*kinds)) if kinds else rows
 
     def by_country(rows: DataFrame) -> DataFrame:
@@ -40,9 +46,13 @@ def fixture_tables(spark: SparkSession, folder: str, **options) -> Tables:
 
     def assignment() -> DataFrame:
         flips = F.when(_nth(17) == 0, 1).otherwise(0)
+        variation = (F.col("user_id") + flips) % (3 if hard else 2)
+        if hard:
+            late = F.to_date("ts") > F.lit(PHASE.last_day)
+            variation = F.when(_nth(31) == 0, None).when(late, 3).otherwise(variation)
         return events("signup", "view").select(
             "user_id", F.lit("exp_a").alias("experiment_id"),
-            ((F.col("user_id") + flips) % 2).cast("int").alias("variation_id"),
+            variation.cast("int").alias("variation_id"),
             F.col("ts").alias("timestamp_assigned"), day)
 
     def first_visit() -> DataFrame:
@@ -87,11 +97,11 @@ def fixture_tables(spark: SparkSession, folder: str, **options) -> Tables:
                   .when(_nth(6) == 3, "generate").when(_nth(6) == 4, "send"))
         return events("click").select(
             "event_id", "user_id", F.col("ts").alias("ingest_timestamp"), day,
-            (F.col("user_id") * 1000 + _nth(7)).alias("conversation_id"), _nth(5).alias("prompt_id"),
+            (F.col("user_id") * 1000 + _nth(7)).alias("conversation_id"), _nth(bots).alias("prompt_id"),
             method.alias("method"), source)
 
     def bot_view() -> DataFrame:
-        return events("view").select("event_id", "user_id", day, _nth(5).alias("bot_id"), source)
+        return events("view").select("event_id", "user_id", day, _nth(bots).alias("bot_id"), source)
 
     def show_card() -> DataFrame:
         tab = F.when(_nth(2) == 0, "Explore").otherwise("Following")

@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Mapping
+from threading import Lock
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from trialmetrics.session import staged
+from trialmetrics.session import remove_folder, shared_folder, staged
 from trialmetrics.sources.schemas import SCHEMAS
 
 
+#: Formats whose files hold the types of their columns.
+TYPED_FORMATS = {"parquet", "orc", "avro", "delta", "iceberg"}
+
+
 class Tables:
     """Input tables by name, opened when first asked for.
 
     ``share_assignments`` makes :func:`trialmetrics.operators.assignment.resolve` write
     each resolved assignment once to the shared folder, for runs of many metrics. Every
-    instance has a folder of its own, so runs do not disturb each other.
+    instance has a folder of its own, so runs do not disturb each other; :meth:`release` removes it.
+    Reports of one instance may be computed from several threads.
     """
 
     def __init__(self, spark: SparkSession, opener: Callable[[str], DataFrame],
@@ -27,18 +34,32 @@ class Tables:
         self._shared: dict[str, DataFrame] = {}
         self.share_assignments = share_assignments
         self._run = uuid4().hex
+        self._lock, self._locks = Lock(), defaultdict(Lock)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._open:
-            self._open[name] = self._opener(name)
-        return self._open[name]
+        with self._lock:
+            if name not in self._open:
+                self._open[name] = self._opener(name)
+            return self._open[name]
 
     def shared(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
         if not self.share_assignments:
             return build()
-        if key not in self._shared:
-            self._shared[key] = staged(build(), f"run-{self._run}/{key}")
-        return self._shared[key]
+        with self._lock:
+            lock = self._locks[key]
+        with lock:
+            if key not in self._shared:
+                self._shared[key] = staged(build(), f"run-{self._run}/{key}")
+            return self._shared[key]
+
+    def sharing(self) -> Tables:
+        """The same tables with assignments shared, in a folder of their own."""
+        return Tables(self.spark, self.__getitem__, share_assignments=True)
+
+    def release(self) -> None:
+        """Remove what was shared. DataFrames built on it can no longer be computed."""
+        self._shared.clear()
+        remove_folder(self.spark, f"{shared_folder(self.spark)}/run-{self._run}")
 
     @classmethod
     def of(cls, frames: Mapping[str, DataFrame], **options) -> Tables:
@@ -49,10 +70,17 @@ class Tables:
     @classmethod
     def in_folder(cls, spark: SparkSession, root: str, file_format: str = "parquet",
                   names: Mapping[str, str] | None = None, **options) -> Tables:
-        """One day-partitioned folder per table under ``root``."""
+        """One day-partitioned folder per table under ``root``.
+
+        Files that know their types are read with them and then conformed; others (CSV, JSON)
+        are read under the declared schema, and a cell that does not fit is an error.
+        """
         def opener(name: str) -> DataFrame:
-            reader = spark.read.schema(SCHEMAS[name]).format(file_format)
-            return reader.load(f"{root}/{(names or {}).get(name, name)}")
+            path = f"{root}/{(names or {}).get(name, name)}"
+            reader = spark.read.format(file_format)
+            if file_format not in TYPED_FORMATS:
+                reader = reader.schema(SCHEMAS[name]).options(header=True, mode="FAILFAST")
+            return conformed(reader.load(path), SCHEMAS[name])
         return cls(spark, opener, **options)
 
     @classmethod
@@ -67,28 +95,36 @@ def conformed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the columns of ``schema``, mending types that differ between warehouses.
 
     A variation such as 'null' becomes NULL, a notification type 4 becomes '4', a day
-    held as text or as a time becomes a date. Ids keep the type they have.
+    held as text or as a time becomes a date. Ids keep the type they have. Any other
+    value that does not fit its type is an error, as is a column that is missing.
     """
+    actual = {name.lower(): name for name in df.columns}
+    if missing := [name for name in schema.names if name.lower() not in actual]:
+        raise ValueError(f"columns {missing} are missing; there are {df.columns}")
+
     def column(field: T.StructField) -> Column:
-        have, want = df.schema[_actual(df, field.name)].dataType, field.dataType
+        # Names are matched without regard to case, as Spark does.
+        have, want = df.schema[actual[field.name.lower()]].dataType, field.dataType
         value = F.col(field.name)
         if have == want or field.name.endswith("_id") and field.name != "variation_id":
             return value.alias(field.name)
         if isinstance(want, T.DateType):
-            return F.to_date(value).alias(field.name)
-        return value.try_cast(want).alias(field.name)
+            return _strict(value, want).alias(field.name)
+        return (value.try_cast(want) if field.name == "variation_id" else _strict(value, want)).alias(field.name)
 
     return df.select(*map(column, schema))
 
 
-def _actual(df: DataFrame, name: str) -> str:
-    """Column names are matched without regard to case, as Spark does."""
-    return next(column for column in df.columns if column.lower() == name.lower())
+def _strict(value: Column, want: T.DataType) -> Column:
+    """A cast that raises on what does not fit, whether or not the session is in ANSI mode."""
+    cast = value.try_cast(want)
+    text = F.concat(F.lit(f"not a {want.simpleString()}: "), value.cast("string"))
+    return F.when(value.isNotNull() & cast.isNull(), F.raise_error(text).cast(want)).otherwise(cast)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A CSV export with a header line, read under a declared schema."""
-    return spark.read.csv(path, header=True, schema=schema)
+    """A CSV export with a header line, read under a declared schema; a cell that does not fit is an error."""
+    return spark.read.csv(path, header=True, schema=schema, mode="FAILFAST")
 
 
 def numeric_sample(df: DataFrame, value: str = "user_aov", group: str = "variation_id") -> DataFrame:
