@@ -108,6 +108,15 @@ def plain_roots(prints):
     return root
 
 
+@pytest.mark.parametrize("piece", [1, 7, 1 << 20])
+@pytest.mark.parametrize("shingle", [1, 3])
+def test_fingerprints_by_pieces(monkeypatch, piece, shingle):
+    monkeypatch.setattr(simhash, "PIECE", piece)
+    for _, text in odd_documents():
+        text = (text or "")[:4_000]
+        assert simhash.fingerprint(text.encode(), shingle) == plain.fingerprint(text, shingle)
+
+
 def test_no_pivot_discards_a_close_pair():
     draw = random.Random(2)
     for _ in range(2_000):

@@ -47,6 +47,13 @@ def test_remembered_words_make_no_difference(monkeypatch):
     assert [n for i in range(0, len(texts), 7) for n in counter.counts(texts[i:i + 7])] == want
 
 
+def test_long_texts_go_by_in_pieces(monkeypatch):
+    texts = [t or "" for t in odd_texts()]
+    want = token_counts.Counter(BPE).counts(texts)
+    monkeypatch.setattr(token_counts, "AT_ONCE", 16)
+    assert token_counts.Counter(BPE).counts(texts) == want
+
+
 def test_other_files_are_refused():
     with pytest.raises(ValueError):
         token_counts.Merges.read(public_tokenizers.path("word_bpe_49k.json"))
@@ -113,6 +120,7 @@ def test_code_lengths_are_exact():
     assert np.allclose(p.sum(1), 1, atol=1e-5)
     texts = [b"abra", b"", b"xyz", "mer à".encode()]
     got = language_id.code_lengths(texts, trees)
+    assert np.allclose(language_id.code_lengths(texts, trees, piece=2), got)
     for k, language in enumerate(trees.languages):
         sample = [t for of, t in samples if of == language]
         for i, text in enumerate(texts):

@@ -120,24 +120,43 @@ def _by_context(numbers: np.ndarray, counts: np.ndarray, m: int) -> dict:
     return {h: (numbers[a:b] % m, counts[a:b]) for h, a, b in zip(heads.tolist(), starts, ends)}
 
 
-def code_lengths(texts: list[bytes], trees: Trees) -> np.ndarray:
-    """[text, language]: bits of each text's code. A context does not reach over the start of a text."""
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+def code_lengths(texts: list[bytes], trees: Trees, piece: int = 1 << 20) -> np.ndarray:
+    """[text, language]: bits of each text's code. A context does not reach over the start of a text.
+
+    Long texts are cut into pieces that begin with the context of their first byte, so memory does not grow with them.
+    """
     out = np.zeros((len(texts), len(trees.languages)))
-    if not sizes.sum():
-        return out
-    full = np.flatnonzero(sizes)
-    starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
+    held: list[tuple[int, int, bytes]] = []  # text, bytes of context, bytes
+    size = 0
+    for i, text in enumerate(texts):
+        for start in range(0, len(text), piece):
+            context = min(start, trees.order)
+            held.append((i, context, text[start - context:start + piece]))
+            size += len(held[-1][2])
+            if size >= piece:
+                _add_lengths(out, held, trees)
+                held, size = [], 0
+    if held:
+        _add_lengths(out, held, trees)
+    return out
+
+
+def _add_lengths(out: np.ndarray, pieces: list[tuple[int, int, bytes]], trees: Trees) -> None:
+    of, contexts, texts = zip(*pieces)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     x = trees.symbols[np.frombuffer(b"".join(texts), np.uint8)]
     m, after = trees.after.shape[1], trees.after.ravel()
     before = np.zeros(len(x), np.int32)  # the context of a byte, one byte longer with each turn
     for _ in range(trees.order):
         longer = after[before * np.int64(m) + x]
-        before = np.concatenate([[0], longer[:-1]]).astype(np.int32)
+        before[1:] = longer[:-1]
         before[starts] = 0
     bits = trees.bits.reshape(-1, len(trees.languages))[before * np.int64(m) + x]
-    out[full] = np.add.reduceat(bits.astype(np.float64), starts, axis=0)
-    return out
+    for start, context in zip(starts, contexts):
+        if context:
+            bits[start:start + context] = 0
+    np.add.at(out, list(of), np.add.reduceat(bits, starts, axis=0, dtype=np.float64))
 
 
 def training_sample(

@@ -10,6 +10,7 @@ most two bits apart. Copies fall together before any of this: only distinct fing
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 
@@ -21,24 +22,40 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from trialmetrics.llm.common import LOWER, bytes_of, slices, stored
 
 SEED = 42
+PIECE = 1 << 20  # bytes of a text whose words are held together
+_WHITE = re.compile(rb"[ \t-\r]")
 BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))  # first bit and bits of each
 #: Reference fingerprints, from a rule: digests of their numbers.
 PIVOTS = [xxhash.xxh64_intdigest(str(i).encode(), seed=SEED) - (1 << 63) for i in range(8)]
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
-    """Bits set in over half of the shingles' hashes."""
-    words = text.translate(LOWER).split()
-    if not words:
-        return 0
+    """Bits set in over half of the shingles' hashes. A long text goes by in pieces cut at white space."""
+    ones, n, words, at = np.zeros(64, np.int64), 0, [], 0
+    while at < len(text):
+        stop = at + PIECE
+        if stop < len(text):
+            found = _WHITE.search(text, stop)
+            stop = found.start() if found else len(text)
+        words += text[at:stop].translate(LOWER).split()
+        at = stop
+        if len(words) >= shingle or at >= len(text) and words and not n:
+            hashes = _hashes(words, shingle)
+            ones += _ones(hashes)
+            n += len(hashes)
+            words = words[len(words) - shingle + 1:] if shingle > 1 else []
+    return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
+
+
+def _hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """XXH64 of each shingle, or of all words if they are fewer."""
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     n = max(1, len(words) - shingle + 1)
     starts = [0, *ends[:n - 1].tolist()]
     stops = (ends[min(shingle, len(words)) - 1:] - 1).tolist()
     of = xxhash.xxh64_intdigest
-    hashes = np.fromiter((of(joined[a:b], SEED) for a, b in zip(starts, stops)), np.uint64, n)
-    return int(np.packbits(_ones(hashes) * 2 > n, bitorder="little").view(np.uint64)[0])
+    return np.fromiter((of(joined[a:b], SEED) for a, b in zip(starts, stops)), np.uint64, n)
 
 
 def _ones(hashes: np.ndarray) -> np.ndarray:

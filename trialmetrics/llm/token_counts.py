@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ from trialmetrics.llm.common import slices
 NONE = np.int64(1) << 40
 #: Different pre-tokens a worker remembers; beyond it starts anew, which costs time and changes nothing.
 REMEMBERED = 400_000
+#: Characters of a text whose pre-tokens are held together.
+AT_ONCE = 4 << 20
 
 # The pre-token pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -123,14 +126,29 @@ class Counter:
 
     def __init__(self, path: str):
         self.merges = Merges.read(path)
-        self.find = regex.compile(PATTERN).findall
+        self.pattern = regex.compile(PATTERN)
+        self.find = self.pattern.findall
         special = sorted(self.merges.special, key=len, reverse=True)
         self.split = regex.compile("|".join(map(regex.escape, special))).split if special else None
         self.known: dict[str, int] = {}
 
     def counts(self, texts: list[str]) -> list[int]:
-        cut = [self.split(text) if self.split else [text] for text in texts]
-        tokens = [[t for part in parts for t in self.find(part)] for parts in cut]
+        out, short = [0] * len(texts), []
+        for i, text in enumerate(texts):
+            parts = self.split(text) if self.split else [text]
+            out[i] = len(parts) - 1
+            if len(text) <= AT_ONCE:
+                short.append((i, [t for part in parts for t in self.find(part)]))
+                continue
+            for part in parts:  # so that the pre-tokens of a long text are never held all together
+                found = (match[0] for match in self.pattern.finditer(part))
+                while held := list(islice(found, AT_ONCE // 8)):
+                    out[i] += self._sums([held])[0]
+        for (i, _), n in zip(short, self._sums([tokens for _, tokens in short])):
+            out[i] += n
+        return out
+
+    def _sums(self, tokens: list[list[str]]) -> list[int]:
         different = set().union(*tokens)
         new = [t for t in different if t not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
@@ -138,7 +156,7 @@ class Counter:
             new = list(different)
         self.known.update(zip(new, merged_lengths([t.encode() for t in new], self.merges).tolist()))
         look = self.known.__getitem__
-        return [sum(map(look, found)) + len(parts) - 1 for found, parts in zip(tokens, cut)]
+        return [sum(map(look, found)) for found in tokens]
 
 
 _counters: dict[str, Counter] = {}
