@@ -71,7 +71,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op2_warc": WARC, "op9_decontamination": DECONTAMINATION}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op2_warc": WARC, "op6_sharding": SHARDING, "op9_decontamination": DECONTAMINATION}
 
 
 EXACT_DEDUP = r"""
@@ -98,6 +98,35 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM firsts
 """
 
+def _crc_table() -> str:
+    """The 256 steps of CRC-32, a bit at a time."""
+    text = "SELECT i, i::UBIGINT AS c FROM range(256) r(i)"
+    for _ in range(8):
+        text = f"SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END AS c FROM ({text})"
+    return f"SELECT list(c ORDER BY i) AS steps FROM ({text})"
+
+
+SHARDING = f"""
+WITH crc AS ({_crc_table()}),
+bytes AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size, string_split(hex(encode(coalesce(text, ''))), '') AS hex FROM documents),
+numbers AS (
+  SELECT doc_id, size, list_transform(range(size - 8), lambda i: ('0x' || hex[2 * i + 1] || hex[2 * i + 2])::UBIGINT) AS bytes FROM bytes),
+sized AS (
+  SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(xor(list_reduce([4294967295::UBIGINT] || bytes,
+    lambda c, b: xor(c >> 8, steps[CAST(xor(c, b) & 255 AS INT) + 1])), 4294967295::UBIGINT) AS BIGINT) AS text_crc32
+  FROM numbers, crc),
+summed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id NULLS LAST, size, text_crc32 ROWS UNBOUNDED PRECEDING) - size AS before,
+         sum(size) OVER () AS total,
+         row_number() OVER (ORDER BY doc_id NULLS LAST, size, text_crc32) AS nth
+  FROM sized),
+placed AS (SELECT *, CAST((2 * before + size) * 24 // (2 * total) AS INT) AS shard FROM summed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       CAST(nth - min(nth) OVER (PARTITION BY shard) AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard
+FROM placed
+"""
+
 DECONTAMINATION = r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(
