@@ -13,7 +13,7 @@ from trialmetrics import Experiment, Tables
 from trialmetrics.functions import means, proportions, ranks, resampling
 from trialmetrics.operators import assignment, windows
 from trialmetrics.plans import ads, business, catalog, chat, engagement, recharge, retention, subscription
-from trialmetrics.publish import export_csv, preview, publish, published, typed, with_headings, RETENTION_HEADINGS
+from trialmetrics.publish import export_csv, preview, publish, published, typed, with_headings, EDIT_HEADINGS, RETENTION_HEADINGS
 from trialmetrics.session import shared_folder
 from trialmetrics.sources.documents import read_experiment_documents
 from trialmetrics.sources.fixtures import PHASE, fixture_tables
@@ -380,4 +380,6 @@ def queries() -> dict[str, Query]:
         "s9_typed_report": _typed,
         "s13_preview": _preview,
         "s14_headings": _headed,
+        "s14_edit_headings": lambda spark, folder: with_headings(
+            rounded(engagement.edits(fixture_tables(spark, folder), PHASE)), EDIT_HEADINGS),
     }

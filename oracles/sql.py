@@ -819,6 +819,9 @@ def _publication(found: dict[str, str]) -> dict[str, str]:
                 "exp_rate": "实验组留存率", "d1_rate": "d1留存率", "d3_rate": "d3留存率", "d7_rate": "d7留存率",
                 "d15_rate": "d15留存率", "coverage_ratio": "覆盖占比"}
     renamed = ", ".join(f'{old} AS "{new}"' for old, new in headings.items())
+    edits = {"event_date": "日期", "variation": "实验分组", "total_edit": "编辑事件数", "unique_edit_users": "活跃编辑用户数",
+             "edit_ratio": "人均编辑次数"}
+    edits = ", ".join(f'{old} AS "{new}"' for old, new in edits.items())
     filled = ", ".join(f"COALESCE({c}, 0) AS {c}" for c in
                        ("showed_events", "clicked_events", "click_ratio", "new_showed_events", "new_clicked_events",
                         "new_user_click_ratio"))
@@ -827,6 +830,7 @@ def _publication(found: dict[str, str]) -> dict[str, str]:
         "s6_published_twice": order_value,
         "s9_typed_report": order_value,
         "s13_preview": f"SELECT event_date, variation, {filled} FROM ({found['c1_click_rate']})",
+        "s14_edit_headings": f"SELECT {edits} FROM ({found['e3_edits']})",
         "s14_headings": f"SELECT dt, variation, {renamed}, exp_ci_lower, exp_ci_upper "
                         f"FROM ({found['r6_new_user_report_rates']})",
     }
