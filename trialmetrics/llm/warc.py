@@ -52,8 +52,8 @@ def write_warc(
 ) -> DataFrame:
     """Write a record for each row and return the manifest of the committed files.
 
-    Of the records with equal payloads of at least ``revisit_from`` bytes the one with the smallest id (null last) is
-    a response and the others revisit it; all smaller ones are responses. Of repeated rows one is the response.
+    Of the records with equal payloads of at least ``revisit_from`` bytes the one with the smallest id (null last, then
+    the smallest url) is a response and the others revisit it; all smaller ones are responses. Of repeated rows one is the response.
     A null payload is empty, a null url is written as about:blank, a record without id has no id line.
     All rows that share one id are in one shard, which rolls into as many files as they need and holds one payload at a time. An empty
     table gives an empty manifest; other columns are not looked at. ``date`` is the date of all records, since
@@ -64,32 +64,35 @@ def write_warc(
     records = numbered(pages, row).select(
         F.col(key).cast("long").alias("key"), F.col(url).cast("string").alias("url"), content.alias("payload"),
         F.octet_length(content).cast("long").alias("bytes"), F.sha2(content, 256).alias("digest"), F.col(row).alias("row"))
-    order = F.struct(F.col("key").isNull().alias("no_key"), "key", "row")
-    copies = records.filter(F.col("bytes") >= revisit_from).groupBy("digest").agg(
-        F.min(order).alias("of"), F.count("*").alias("n"), F.min_by(F.col("url"), order).alias("of_url")).filter("n > 1")
+    order = F.struct(F.col("key").isNull().alias("no_key"), "key", "url", "row")
+    light = records.filter(F.col("bytes") >= revisit_from).drop("payload")
+    copies = light.groupBy("digest").agg(F.min(order).alias("of"), F.count("*").alias("n")).filter("n > 1")
     cuts = np.array(_splitters(records.select("key", "bytes"), shard_bytes), np.int64)
 
     @F.pandas_udf("int")
     def shard_of(ids: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(cuts, ids.to_numpy(), "right").astype(np.int32))
 
-    marked = records.join(copies, "digest", "left")
-    revisits = F.col("of").isNotNull() & (F.col("bytes") >= revisit_from) & (F.col("row") != F.col("of.row"))
-    marked = marked.select(
-        "key", "url", F.when(~revisits, F.col("payload")).alias("payload"), "bytes", "digest", "row",
-        F.when(revisits, F.col("of.key")).alias("refers_to"), F.when(revisits, F.col("of_url")).alias("refers_url"),
-        revisits.alias("revisit"), shard_of(F.coalesce("key", F.lit(-(1 << 63)))).alias("shard"))
-    dealt = marked.repartitionById(len(cuts) + 1, "shard").sortWithinPartitions(
-        "shard", F.asc_nulls_last("key"), "digest", "url", "revisit", "row").drop("row")
+    # A copy is marked by a row of its own, which the sort puts right before the record: the join is of ids and
+    # digests, and a payload is shuffled once.
+    marks = light.join(copies, "digest").filter(F.col("row") != F.col("of.row")).select(
+        "key", "url", "digest", "row", F.col("of.key").alias("refers_to"), F.col("of.url").alias("refers_url"),
+        F.lit(True).alias("mark"))
+    both = records.withColumn("mark", F.lit(False)).unionByName(marks, allowMissingColumns=True)
+    dealt = both.withColumn("shard", shard_of(F.coalesce("key", F.lit(-(1 << 63))))).repartitionById(
+        len(cuts) + 1, "shard").sortWithinPartitions("shard", F.asc_nulls_last("key"), "digest", "url", "row", F.desc("mark"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, context = None, TaskContext.get()
+        writer, marked, context = None, {"row": None}, TaskContext.get()
         for batch in batches:
             for values in _rows(batch):
+                if values["mark"]:
+                    marked = values
+                    continue
                 if writer is None or writer.shard != values["shard"]:
                     yield from writer.close() if writer else ()
                     writer = _Writer(folder, values["shard"], f"{context.stageId()}-{context.taskAttemptId()}", file_bytes, date)
-                yield from writer.add(values)
+                yield from writer.add(values, marked if marked["row"] == values["row"] else None)
         yield from writer.close() if writer else ()
 
     manifest = stored(dealt.mapInArrow(write, MANIFEST), "warc-written")
@@ -140,22 +143,23 @@ class _Writer:
         self.number, self.out = 0, None
         self.system.create_dir(f"{self.root}/_temporary", recursive=True)
 
-    def add(self, row: dict) -> Iterator[pa.RecordBatch]:
+    def add(self, row: dict, revisit: dict | None) -> Iterator[pa.RecordBatch]:
+        """Write a record, or if it is a copy only what it revisits."""
         if self.out is not None and self.size >= self.limit:
             yield from self.close()
         if self.out is None:
             self._open()
         payload, digest = row["payload"] or b"", row["digest"]
         http = _header(b"HTTP/1.1 200 OK", [("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(row["bytes"]))])
-        block = http if row["revisit"] else http + payload
+        block = http if revisit else http + payload
         fields = [
-            ("WARC-Type", "revisit" if row["revisit"] else "response"), ("WARC-Record-ID", record_id(row["key"], digest)),
+            ("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_id(row["key"], digest)),
             ("WARC-Date", self.date), ("WARC-Target-URI", _address(row["url"])), ("X-Record-Key", _text(row["key"])),
             ("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}")]
-        if row["revisit"]:
-            fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(row["refers_to"], digest)),
-                       ("WARC-Refers-To-Target-URI", _address(row["refers_url"])), ("WARC-Refers-To-Date", self.date),
-                       ("X-Refers-To-Key", _text(row["refers_to"]))]
+        if revisit:
+            fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(revisit["refers_to"], digest)),
+                       ("WARC-Refers-To-Target-URI", _address(revisit["refers_url"])), ("WARC-Refers-To-Date", self.date),
+                       ("X-Refers-To-Key", _text(revisit["refers_to"]))]
         self._put([*fields, ("Content-Type", "application/http;msgtype=response")], block)
         self.records += 1
 
