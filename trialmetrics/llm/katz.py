@@ -34,7 +34,7 @@ LOW = 5  # counts up to this are discounted
 END, START, FIRST = 0, 1, 2  # codes of the end, of the context of a first word, and of the first frequent word
 RARE = 1 << 62
 COUNT_ONLY = np.uint32(0xFFFFFFFF)
-DOC, CONTEXT, RARE_PAIR, OPEN, TOTALS = range(5)
+DOC, CONTEXT, RARE_PAIR, OPEN, OPEN_SPREAD, TOTALS = range(6)
 PACKED = "bucket int, first_row long, entries int, block binary"
 FOUND = T.StructType([T.StructField("kind", T.ByteType()), *[T.StructField(c, T.LongType()) for c in ("row", "a", "b")],
                       T.StructField("x", T.DoubleType()), T.StructField("n", T.LongType()),
@@ -80,8 +80,9 @@ class Words:
 
 def _codes(flat: list[bytes], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the different words, and for each word which of these it is."""
-    index: dict[bytes, int] = {}
-    of = np.fromiter((index.setdefault(w, len(index)) for w in flat), np.int64, len(flat))
+    index = dict.fromkeys(flat)
+    index.update(zip(index, range(len(index))))
+    of = np.fromiter(map(index.__getitem__, flat), np.int64, len(flat))
     found = np.fromiter((xxhash.xxh64_intdigest(w) >> 2 for w in index), np.int64, len(index))
     if not len(hashes):
         return found | RARE, of
@@ -156,14 +157,14 @@ class Buckets:
         return np.where(codes < RARE, wanted, 1).clip(1, self.number)
 
     def home(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return ((self._mixed(a) % self.number) + self._mixed(b) % self.spread(a)) % self.number
+        return ((self.mixed(a) % self.number) + self.mixed(b) % self.spread(a)) % self.number
 
     def salts(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Over how many buckets the rows of a pair are dealt; 1 unless both words are frequent."""
         return np.minimum(self.spread(a), self.spread(b))
 
     @staticmethod
-    def _mixed(codes: np.ndarray) -> np.ndarray:
+    def mixed(codes: np.ndarray) -> np.ndarray:
         x = codes.astype(np.uint64) * _MIX
         return ((x ^ (x >> np.uint64(31))) >> np.uint64(8)).astype(np.int64)
 
@@ -200,7 +201,10 @@ def _packed(buckets: Buckets, a, b, row, held) -> Iterator[pa.RecordBatch]:
     salts = buckets.salts(a, b)
     home = buckets.home(a, b)
     bucket = (home + np.where(salts > 1, row % salts, 0)) % buckets.number
-    entry = np.lexsort((b, a, bucket))  # rows ascend already
+    # By bucket, context and word, each but the first by some bits of its hash. Rows ascend already and the sort is
+    # stable, so only a collision can part equal pairs of a row; they are added up in the bucket.
+    mixed = (buckets.mixed(a) & 0xFFFFFF) << 20 | buckets.mixed(b) & 0xFFFFF
+    entry = np.argsort((bucket << 44 | mixed) if buckets.number < 1 << 19 else bucket, kind="stable")
     columns = [x[entry] for x in (bucket, a, b, row, held)]
     new = np.ones(len(entry), bool)
     new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
@@ -232,7 +236,7 @@ def _packed(buckets: Buckets, a, b, row, held) -> Iterator[pa.RecordBatch]:
         ["bucket", "first_row", "entries", "block"])
 
 
-def pair_blocks(rows: DataFrame, known: Broadcast, buckets: Broadcast, at_once: int = 1_000_000) -> DataFrame:
+def pair_blocks(rows: DataFrame, known: Broadcast, buckets: Broadcast, at_once: int = 600_000) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in slices(batches, "text"):
@@ -306,21 +310,24 @@ def _counted(blocks: list[tuple], bucket: int, known: Words, buckets: Buckets) -
     if len(docs):
         emit.add(DOC, row=docs, x=np.bincount(at, x[was], len(docs)), low=[
             np.bincount(at, np.where(r[of[was]] == k, n[was], 0), len(docs)).astype(np.int64) for k in range(1, LOW + 1)])
-    open_ = ~was | spread[where]
-    if open_.any():
-        of, row, n, was = of[open_], row[open_], n[open_], was[open_]
-        word = np.where(~was & rare[of], pb[of], -1)  # -1: no join for the word
-        context_of = pa_[of]
-        order = np.lexsort((word, context_of, row))
-        of, row, n, was, word, context_of = (c[order] for c in (of, row, n, was, word, context_of))
-        edge = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (context_of[1:] != context_of[:-1]) | (word[1:] != word[:-1])))
-        with np.errstate(divide="ignore"):
-            log_p = np.where(was | rare[of], 0.0, n * np.log10(np.where(p[of] > 0, p[of], 1.0)))
-        emit.add(OPEN, row=row[edge], a=context_of[edge], b=word[edge], x=np.add.reduceat(log_p, edge),
-                 n=np.add.reduceat(np.where(was, 0, n), edge), low=[np.add.reduceat(np.where(was, n, 0), edge)])
+    for kind, open_ in ((OPEN, ~was & ~spread[where]), (OPEN_SPREAD, spread[where])):
+        if open_.any():
+            emit.add(kind, **_open(pa_, pb, rare, p, of[open_], row[open_], n[open_], was[open_]))
     yield from emit.batches
 
 
+def _open(pa_, pb, rare, p, of, row, n, was) -> dict:
+    """What is left to score of some pairs, summed by row, context and word (-1 if the word needs no join)."""
+    word = np.where(~was & rare[of], pb[of], -1)
+    context = pa_[of]
+    order = np.lexsort((word, context, row))
+    of, row, n, was, word, context = (c[order] for c in (of, row, n, was, word, context))
+    edge = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (context[1:] != context[:-1]) | (word[1:] != word[:-1])))
+    log_p = np.where(was | rare[of], 0.0, n * np.log10(np.where(p[of] > 0, p[of], 1.0)))
+    return {"row": row[edge], "a": context[edge], "b": word[edge], "x": np.add.reduceat(log_p, edge),
+            "n": np.add.reduceat(np.where(was, 0, n), edge), "low": [np.add.reduceat(np.where(was, n, 0), edge)]}
+
+
 class _Rows:
     def __init__(self):
         self.batches: list[pa.RecordBatch] = []
@@ -392,7 +399,7 @@ def _probability(n: Column, known: Words) -> Column:
 
 def scored(
     df: DataFrame, key: str = "doc_id", text: str = "text", held_out: Column | None = None, head: int = 1 << 18,
-    bucket_tokens: int = 2_500_000,
+    bucket_tokens: int = 2_000_000,
 ) -> DataFrame:
     """One row per row of ``df``: key, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
@@ -429,13 +436,17 @@ def scored(
     left = sum((F.col(c) * (r * (1 - x)) for r, (c, x) in enumerate(zip(low, d), 1)), F.lit(0.0)) + extra
     total = F.col("total") + extra
     unseen = F.lit(1.0) - F.col("p") - F.coalesce("p_rare", F.lit(0.0))
-    contexts = contexts.select("a", F.log10(total).alias("log_total"), (F.log10(left / total) - F.log10(
+    contexts = contexts.select("a", "total", F.log10(total).alias("log_total"), (F.log10(left / total) - F.log10(
         F.greatest(unseen, F.lit(known.unseen)))).alias("log_alpha"))
 
     of_rare = F.when(F.col("b") >= 0, F.col("times") * F.log10(_probability(F.col("n"), known))).otherwise(F.lit(0.0))
-    opened = found.filter(f"kind = {OPEN}").select("row", "a", "b", "x", F.col("n").alias("times"), F.col("n1").alias("seen"),
-                                                   F.when(F.col("b") >= 0, F.col("b").bitwiseAND(F.lit(RARE - 1))).alias("h"))
-    opened = opened.join(words, "h", "left").join(contexts, "a", "left").select("row", (
+    columns = ["row", "a", "x", F.col("n").alias("times"), F.col("n1").alias("seen"), "b",
+               F.when(F.col("b") >= 0, F.col("b").bitwiseAND(F.lit(RARE - 1))).alias("h")]
+    # A context is spread if it comes more than ``limit`` times, so there are at most 4 * number of them.
+    spread = F.broadcast(contexts.filter(F.col("total") > limit))
+    opened = found.filter(f"kind = {OPEN}").select(*columns).join(contexts, "a", "left").unionByName(
+        found.filter(f"kind = {OPEN_SPREAD}").select(*columns).join(spread, "a", "left"))
+    opened = opened.join(words, "h", "left").select("row", (
         F.col("x") + of_rare + F.col("times") * F.coalesce("log_alpha", F.lit(0.0))
         - F.col("seen") * F.coalesce("log_total", F.lit(0.0))).alias("x"))
     done = found.filter(f"kind = {DOC}").select("row", (F.col("x") + log_d).alias("x"))
