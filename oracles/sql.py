@@ -370,7 +370,7 @@ def _business() -> dict[str, str]:
         FROM days JOIN v_first_visit f ON f.first_visit_date = d JOIN picked p ON p.user_id = f.user_id AND p.event_date = d
         LEFT JOIN v_geo g ON g.user_id = f.user_id AND g.event_date = d
         LEFT JOIN v_all_purchase b ON b.user_id = f.user_id AND {typed} AND b.event_date BETWEEN d AND d + 3
-        GROUP BY 1, 2, 3"""
+        WHERE p.variation_id IS NOT NULL GROUP BY 1, 2, 3"""
 
     def b9(distinct: str, age: str) -> str:
         return rounded(f"""SELECT a.variation_id, d AS event_date, COUNT(DISTINCT p.user_id) AS paying_users,
