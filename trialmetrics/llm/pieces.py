@@ -26,7 +26,7 @@ from trialmetrics.llm.common import slices
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
-REMEMBERED = 300_000
+REMEMBERED = 250_000  # words, and steps; beyond it a worker starts anew
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
@@ -84,27 +84,23 @@ class Codec:
     def _search(self, text: str) -> Iterator[int]:
         """Ids of ``text``, committed as soon as all paths that can still win agree on them."""
         longest, n, done, check = self.longest, len(text), 0, 4 * self.longest
-        last: dict[int, str] = {}  # the last piece of the best path to a place after ``done``
+        last: dict[int, str] = {0: ""}  # the last piece of the best path to a place; at ``done``, of what is committed
         best: dict[int, float] = {0: 0.0}
-        before = ""  # the last piece committed
+        extend = self._extend_by_score if self.additive else self._extend_by_step
         for end in range(1, n + 1):
-            if self.additive:
-                self._extend_by_score(text, end, done, last, best)
-            else:
-                self._extend_by_step(text, end, done, last, before)
+            extend(text, end, done, last, best)
             if end == n or end - done >= check:
-                meet = self._common(last, range(max(done + 1, end - longest + 1), end + 1)) if end < n else n
+                meet = self._common(last, done, range(max(done, end - longest + 1), end + 1)) if end < n else n
                 if meet > done:
                     path, at = [], meet
                     while at > done:
                         path.append(last[at])
                         at -= len(last[at])
-                    before = path[0]
                     for piece in reversed(path):
                         yield from self._ids_of(piece)
-                    for place in range(done + 1, meet + 1):
+                    for place in range(done, meet):
                         last.pop(place, None)
-                        best.pop(place - 1, None)
+                        best.pop(place, None)
                     done = meet
                 check = end - done + longest
 
@@ -119,43 +115,51 @@ class Codec:
                 top, last[end] = best[start] + score, piece
         best[end] = top
 
-    def _extend_by_step(self, text: str, end: int, done: int, last: dict, before: str) -> None:
+    def _extend_by_step(self, text: str, end: int, done: int, last: dict, _: dict) -> None:
+        ids, steps, previous_at = self.ids, self.steps, last.get
         for start in range(max(done, end - self.longest), end):
             piece = text[start:end]
-            if piece in self.ids or end - start == 1:
-                previous = before if start == done else last.get(start, "")
-                if (start == 0 or previous) and self._allowed(previous, piece):
+            if (piece in ids or end - start == 1) and (previous := previous_at(start)) is not None:
+                allowed = steps.get((previous, piece))
+                if allowed is None:
+                    allowed = self._allowed(previous, piece)
+                if allowed:
                     last[end] = piece
                     return
 
     def _allowed(self, left: str, right: str) -> bool:
-        found = self.steps.get((left, right))
-        if found is None:
-            if len(self.steps) >= 4 * REMEMBERED:
-                self.steps.clear()
-            found = self.steps[left, right] = self._merged(left + right) == ([left, right] if left else [right])
+        if len(self.steps) >= REMEMBERED:
+            self.steps.clear()
+        found = self._merged(left + right) == ([left, right] if left else [right])
+        self.steps[left, right] = found
         return found
 
     def _merged(self, text: str) -> list[str]:
         """What merging leaves of two pieces: the pair of the best score first, of equal ones the leftmost."""
-        parts = list(text)
+        parts, score_of = list(text), self.scores.get
+        scores = [score_of(a + b) for a, b in zip(parts, parts[1:])]
         while True:
-            pairs = [(-self.scores[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.scores]
-            if not pairs:
+            top, at = None, -1
+            for i, score in enumerate(scores):
+                if score is not None and (top is None or score > top):
+                    top, at = score, i
+            if at < 0:
                 return parts
-            _, i = min(pairs)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-
-    def _common(self, last: dict, alive: range) -> int:
-        """The boundary in which the paths from all places in ``alive`` meet."""
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = score_of(parts[at - 1] + parts[at])
+            if at < len(scores):
+                scores[at] = score_of(parts[at] + parts[at + 1])
+
+    def _common(self, last: dict, done: int, alive: range) -> int:
+        """The boundary in which the paths from all places in ``alive`` meet; ``done`` if they have not met since."""
         places = {p for p in alive if p in last}
         while len(places) > 1:
             place = max(places)
             places.remove(place)
-            places.add(place - len(last[place]) if place in last else place)
-            if place not in last:
-                return place
-        return places.pop() if places else 0
+            places.add(place - len(last[place]) if place > done else done)
+        return places.pop()
 
     def _ids_of(self, piece: str) -> list[int]:
         if (found := self.ids.get(piece)) is not None:
