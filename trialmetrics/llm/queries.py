@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trialmetrics.llm import exact_dedup, katz, language_id, pii, sharding, simhash, token_counts, warc
+from trialmetrics.llm import exact_dedup, katz, language_id, pieces, pii, sharding, simhash, token_counts, warc
 from trialmetrics.llm.common import id_remainder, new_folder
 from trialmetrics.llm.decontaminate import contamination
 
@@ -34,6 +34,10 @@ def _token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def _sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encoded(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def _language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = id_remainder(F.col("doc_id"), 3) == 1
@@ -66,6 +70,7 @@ def _simhash(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": _exact_dedup, "op2_warc": _warc, "op3_token_counts": _token_counts,
+        "op4_sentencepiece": _sentencepiece,
         "op5_language_id": _language_id, "op6_sharding": _sharding, "op7_pii": _pii, "op8_lm_scores": _lm_scores,
         "op9_decontamination": _decontamination, "op10_simhash": _simhash}
 
