@@ -137,6 +137,16 @@ def test_personal_data_of_given_documents(spark):
     assert rows(found, "doc_id", "base_sha256", "spans", "n_removed") == sorted(want, key=repr)
 
 
+def test_terms_of_an_entity_of_one_text(spark, tmp_path):
+    docs = [(1, "write to jo@mail.example about Quonsar today"), (2, "about today"), (3, "write to all about it today")]
+    folder = tmp_path / "sf"
+    documents(spark, folder / "documents.parquet", docs)
+    found = {r["doc_id"]: r for r in queries.queries()["op7_pii"](spark, str(folder)).collect()}
+    at = docs[0][1].index("Quonsar")
+    assert f"term:{at}:{at + 7}" in found[1]["spans"] and found[1]["n_removed"] == 1
+    assert not any(found[k]["n_term"] for k in (2, 3))
+
+
 def test_running_totals_in_blocks(spark):
     draw = random.Random(3)
     arrays = [[draw.randrange(9) for _ in range(n)] for n in (0, 1, 127, 128, 129, 1_000)]

@@ -8,8 +8,8 @@ away as far as knowing the term tells that the entity is near. From the corpus,
     disclosure of c by t          PMI / IC: 1 if t is never seen without c, 0 if t says nothing
 
 n(c) and n(t) are documents with the entity and with the term, n(c, t) documents with the term near the entity. Terms above
-``remove_at`` are removed, terms above ``generalise_at`` replaced by their kind. A term has to be near the entity
-in two different texts at least: what was seen in one text only, copied or not, tells nothing about words.
+``remove_at`` are removed, terms above ``generalise_at`` replaced by their kind. With ``two_texts`` a term has to be near
+the entity in two different texts at least; without it the terms of entities of one text are judged too.
 """
 
 from __future__ import annotations
@@ -41,6 +41,7 @@ class Thresholds:
     remove_at: float = 0.95
     generalise_at: float = 0.8
     window: int = 64
+    two_texts: bool = True
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -143,7 +144,7 @@ def disclosing(spans: DataFrame, corpus: DataFrame, text: str, limits: Threshold
     with_entity = entities.select("row", "kind", "entity").distinct().groupBy("kind", "entity").agg(F.count("*").alias("n_c"))
     pairs = entities.select("row", "hash", "kind", "entity", F.explode("terms.value").alias("term")).distinct() \
         .groupBy("kind", "entity", "term").agg(F.count("*").alias("n_ct"), F.min("hash").alias("a"), F.max("hash").alias("b")) \
-        .filter("a < b").drop("a", "b")
+        .filter(F.lit(not limits.two_texts) | (F.col("a") < F.col("b"))).drop("a", "b")
     words = F.array_distinct(F.transform(F.regexp_extract_all(F.col(text).cast("string"), F.lit(_WORD), F.lit(0)), F.lower))
     with_term = corpus.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     n = F.lit(float(corpus.count()))
