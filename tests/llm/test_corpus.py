@@ -147,6 +147,53 @@ def test_terms_of_an_entity_of_one_text(spark, tmp_path):
     assert not any(found[k]["n_term"] for k in (2, 3))
 
 
+def test_terms_far_from_their_entity(spark, tmp_path):
+    """All places of a term in texts with the entity, and none in others; two rows of a text, as many entities as words."""
+    text = "Quonsar came. " + "it was said of it " * 20 + "mail jo@mail.example or 10.0.0.1 " + "that it was " * 20 + "Quonsar quonsar"
+    docs = [(1, text), (2, text), (3, "it was said that of it came or mail"), (4, "Zeb knows"), (5, None), (6, "or 10.0.0.1 then"),
+            *((10 + i, "it was") for i in range(20))]
+    folder = tmp_path / "sf"
+    df = documents(spark, folder / "documents.parquet", docs)
+    found = {r["doc_id"]: r for r in queries.queries()["op7_pii"](spark, str(folder)).collect()}
+    for key in (1, 2):
+        places = [m.span() for m in re.finditer("quonsar", text, re.I)]
+        assert len(places) == 3 and all(f"term:{a}:{b}" in found[key]["spans"].split(",") for a, b in places)
+    assert len(found) == len(docs) and not found[3]["n_term"] and not found[4]["n_term"] and found[6]["n_ip"] == 1
+    limits = pii.Thresholds(window=None, two_texts=False)
+    texts = {r["doc_id"]: r["text"] for r in pii.sanitised(df, limits=limits).collect()}
+    assert "uonsar" not in texts[1] and "[EMAIL]" in texts[1] and texts[4] == "Zeb knows" and texts[5] is None
+
+
+@pytest.mark.parametrize("two_texts", [False, True])
+def test_terms_of_whole_given_documents(spark, two_texts):
+    docs = [(r[0], r[1]) for r in given("documents")]
+    limits = pii.Thresholds(window=None, two_texts=two_texts)
+    found = pii.personal_data(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), limits=limits)
+    want = sorted((k, *told) for (k, _), told in zip(docs, plain_terms(docs, two_texts)))
+    assert rows(found, "doc_id", "n_term", "n_removed") == sorted(want, key=repr) and (two_texts or any(w[1] for w in want))
+
+
+def plain_terms(docs, two_texts):
+    """(places of terms, number removed) for each document, by the definition, over whole texts."""
+    word, n = re.compile(r"[^\W\d_]{2,}"), len(docs)
+    words = [{w.lower() for w in word.findall(t or "")} for _, t in docs]
+    with_term = Counter(w for of in words for w in of)
+    rows_of, together, texts = Counter(), Counter(), {}
+    bases = [plain.base_spans(t or "") for _, t in docs]
+    entities = [{(k, docs[i][1][a:b].lower()) for k, a, b in base} for i, base in enumerate(bases)]
+    for i, of in enumerate(entities):
+        rows_of.update(of)
+        for pair in ((c, t) for c in of for t in words[i]):
+            together[pair] += 1
+            texts.setdefault(pair, set()).add(docs[i][1])
+    score = {(c, t): np.log(n * r / (rows_of[c] * with_term[t])) / np.log(n / rows_of[c])
+             for (c, t), r in together.items() if rows_of[c] < n and len(texts[c, t]) > two_texts}
+    for (_, text), base, of in zip(docs, bases, entities):
+        best = [max((score.get((c, m[0].lower()), 0) for c in of), default=0) for m in word.finditer(text or "")
+                if not any(a < m.end() and m.start() < b for _, a, b in base)]
+        yield sum(x >= 0.8 for x in best), sum(x >= 0.95 for x in best)
+
+
 def test_running_totals_in_blocks(spark):
     draw = random.Random(3)
     arrays = [[draw.randrange(9) for _ in range(n)] for n in (0, 1, 127, 128, 129, 1_000)]

@@ -1,7 +1,7 @@
 """Personal data, and terms that give it away, with DataFrame functions alone.
 
-Four kinds of protected entities are found by pattern. A term, a word within ``window`` characters of an entity, gives it
-away as far as knowing the term tells that the entity is near. From the corpus, with n documents:
+Four kinds of protected entities are found by pattern. A term, a word within ``window`` characters of an entity or, if
+that is None, anywhere in its text, gives it away as far as knowing the term tells that the entity is near. From the corpus, with n documents:
 
     information of an entity      IC(c) = log(n / n(c))
     what a term reveals of it     PMI(c, t) = log(n * n(c, t) / (n(c) * n(t)))
@@ -40,7 +40,7 @@ _SPAN = "struct<start:bigint,stop:bigint,value:string>"
 class Thresholds:
     remove_at: float = 0.95
     generalise_at: float = 0.8
-    window: int = 64
+    window: int | None = 64
     two_texts: bool = True
 
 
@@ -126,14 +126,19 @@ def _near(text: Column, spans: Column, kind: str, window: int) -> Column:
 
 
 def detected(df: DataFrame, key: str, text: str, limits: Thresholds) -> DataFrame:
-    """row, key, hash of the text, spans by kind, and what is near them; no texts."""
+    """row, key, hash of the text, spans by kind, and what is near them; no texts. Without a window each entity is
+    named once, without terms, and the texts that hold any are kept."""
     row = fresh(df, "row")
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
     found = numbered(df, row).select(
         F.col(row).alias("row"), F.col(key).alias("key"), value.alias("text"), F.xxhash64(value).alias("hash"),
         *[base_spans(value, kind).alias(kind) for kind in KINDS])
-    near = F.concat(*[_near(F.col("text"), F.col(kind), kind, limits.window) for kind in KINDS])
     hit = F.greatest(*[F.size(kind) for kind in KINDS]) > 0
+    if limits.window is None:
+        entities = F.array_distinct(F.concat(*[F.transform(kind, lambda s, kind=kind: F.struct(
+            F.lit(kind).alias("kind"), F.lower(s["value"]).alias("entity"))) for kind in KINDS]))
+        return found.withColumn("near", F.when(hit, entities)).withColumn("text", F.when(hit, F.col("text")))
+    near = F.concat(*[_near(F.col("text"), F.col(kind), kind, limits.window) for kind in KINDS])
     return found.withColumn("near", F.when(hit, near)).drop("text")
 
 
@@ -145,8 +150,7 @@ def disclosing(spans: DataFrame, corpus: DataFrame, text: str, limits: Threshold
     pairs = entities.select("row", "hash", "kind", "entity", F.explode("terms.value").alias("term")).distinct() \
         .groupBy("kind", "entity", "term").agg(F.count("*").alias("n_ct"), F.min("hash").alias("a"), F.max("hash").alias("b")) \
         .filter(F.lit(not limits.two_texts) | (F.col("a") < F.col("b"))).drop("a", "b")
-    words = F.array_distinct(F.transform(F.regexp_extract_all(F.col(text).cast("string"), F.lit(_WORD), F.lit(0)), F.lower))
-    with_term = corpus.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    with_term = corpus.select(F.explode(_words(F.col(text).cast("string"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     n = F.lit(float(corpus.count()))
     disclosure = F.log2(n * F.col("n_ct") / (F.col("n_c").cast("double") * F.col("n_t"))) / F.log2(n / F.col("n_c"))
     return pairs.join(with_entity, ["kind", "entity"]).join(with_term, "term") \
@@ -156,19 +160,71 @@ def disclosing(spans: DataFrame, corpus: DataFrame, text: str, limits: Threshold
             F.when(F.col("disclosure") >= limits.remove_at, "remove").otherwise("generalise").alias("action"))
 
 
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), F.lower))
+
+
+def _told(spans: DataFrame, corpus: DataFrame, text: str, limits: Thresholds, common: int = 10_000) -> DataFrame:
+    """row, and the terms of its whole text that reveal too much of one of its entities, with their actions.
+
+    As n(c, t) <= n(c), a term can reach ``generalise_at`` only if n(t) <= n ** (1 - generalise_at) * n(c) **
+    generalise_at. Other pairs are dropped before they are counted, the most frequent terms before any shuffle.
+    """
+    n = float(spans.count())
+    entities = spans.filter("near is not null").select("row", "hash", F.explode("near").alias("n")).select("row", "hash", "n.*")
+    with_entity = stored(entities.groupBy("kind", "entity").agg(F.count("*").alias("n_c")).filter(F.col("n_c") < n), "pii-entities")
+    with_term = stored(corpus.select(F.explode(_words(F.col(text).cast("string"))).alias("term")).groupBy("term").agg(
+        F.count("*").alias("n_t")), "pii-words")
+    most = with_entity.agg(F.max("n_c")).first()[0] or 0
+
+    def reach(n_c: Column) -> Column:
+        return F.lit(n) ** (1 - limits.generalise_at) * n_c ** limits.generalise_at * (1 + 1e-9)
+
+    often = with_term.filter(F.col("n_t") > reach(F.lit(float(most)))).orderBy(F.desc("n_t"), "term").limit(common)
+    terms = spans.filter("near is not null").select("row", F.explode(_words(F.col("text"))).alias("term")) \
+        .join(F.broadcast(often.select("term")), "term", "left_anti") \
+        .join(with_term.filter(F.col("n_t") <= reach(F.lit(float(most)))), "term")
+    pairs = stored(terms.join(entities.join(with_entity, ["kind", "entity"]), "row").filter(
+        F.col("n_t") <= reach(F.col("n_c").cast("double"))), "pii-pairs")
+    of_pair = ["kind", "entity", "term"]
+    disclosure = F.log2(n * F.col("n_ct") / (F.col("n_c").cast("double") * F.col("n_t"))) / F.log2(n / F.col("n_c"))
+    told = pairs.groupBy(*of_pair, "n_c", "n_t").agg(
+        F.count("*").alias("n_ct"), F.min("hash").alias("a"), F.max("hash").alias("b")) \
+        .filter(F.lit(not limits.two_texts) | (F.col("a") < F.col("b"))).withColumn("disclosure", disclosure) \
+        .filter(F.col("disclosure") >= limits.generalise_at).select(
+            *of_pair, F.when(F.col("disclosure") >= limits.remove_at, "remove").otherwise("generalise").alias("action"))
+    return pairs.join(told, of_pair).groupBy("row", "term").agg(F.max("action").alias("action")).groupBy("row").agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("told"))
+
+
+def _anywhere(spans: DataFrame, corpus: DataFrame, text: str, limits: Thresholds) -> DataFrame:
+    """``spans`` with the places of all disclosing terms of a text, sorted, null if there are none."""
+    places = F.filter(F.transform(_found(F.col("text"), _WORD), lambda w: F.struct(
+        w["start"].alias("start"), w["stop"].alias("stop"), F.element_at("told", F.lower(w["value"])).alias("action"))),
+        lambda t: t["action"].isNotNull())
+    return spans.join(_told(spans, corpus, text, limits), "row", "left") \
+        .withColumn("found", F.when(F.col("told").isNotNull(), places)).drop("told", "text", "near")
+
+
 def _with_terms(df: DataFrame, key: str, text: str, limits: Thresholds) -> DataFrame:
     """row, key, base spans by kind, and the spans of disclosing terms, sorted, none over a base span."""
     spans = stored(detected(df, key, text, limits), "pii")
-    told = disclosing(spans, df, text, limits)
+    placed = _anywhere(spans, df, text, limits) if limits.window is None else _in_window(spans, df, text, limits)
+    base = F.concat(*KINDS)
+    return placed.withColumn(TERM, F.coalesce(
+        F.filter("found", lambda t: ~F.exists(base, lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"]))),
+        F.array().cast("array<struct<start:bigint,stop:bigint,action:string>>"))).drop("found")
+
+
+def _in_window(spans: DataFrame, corpus: DataFrame, text: str, limits: Thresholds) -> DataFrame:
+    """``spans`` with the places of disclosing terms near entities, sorted, null if there are none."""
+    told = disclosing(spans, corpus, text, limits)
     near = spans.filter("near is not null").select("row", F.explode("near").alias("n")).select(
         "row", "n.kind", "n.entity", F.explode("n.terms").alias("t")).withColumn("term", F.col("t.value"))
     terms = near.join(told, ["kind", "entity", "term"]).groupBy("row", "t.start", "t.stop").agg(
         F.max("action").alias("action"))  # "remove" after "generalise"
     terms = terms.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "action"))).alias("found"))
-    base = F.concat(*KINDS)
-    return spans.drop("near").join(terms, "row", "left").withColumn(TERM, F.coalesce(
-        F.filter("found", lambda t: ~F.exists(base, lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"]))),
-        F.array().cast("array<struct<start:bigint,stop:bigint,action:string>>"))).drop("found")
+    return spans.drop("near").join(terms, "row", "left")
 
 
 def _joined(kinds: list[str]) -> Column:
@@ -182,7 +238,7 @@ def personal_data(df: DataFrame, key: str = "doc_id", text: str = "text", limits
 
     Null counts as empty, with no spans. Places are code points. Repeated rows count as documents of their own, with
     equal results; the order of rows makes no difference. Other columns are not looked at, an empty table gives an empty
-    result. Statistics cover all rows; only words near entities are candidates. An entity in every
+    result. Statistics cover all rows; only words near entities, as ``limits`` say, are candidates. An entity in every
     document has no information and nothing can disclose it.
     """
     found = _with_terms(df, key, text, limits)

@@ -51,7 +51,7 @@ def _sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _pii(spark: SparkSession, folder: str) -> DataFrame:
-    return pii.personal_data(table(spark, folder, "documents"), limits=pii.Thresholds(two_texts=False))
+    return pii.personal_data(table(spark, folder, "documents"), limits=pii.Thresholds(window=None, two_texts=False))
 
 
 def _lm_scores(spark: SparkSession, folder: str) -> DataFrame:
