@@ -131,3 +131,23 @@ def test_one_kept_in_each_component(spark, tmp_path):
     kept = [r["component_id"] for r in found if r["kept"]]
     assert len(kept) == len(set(kept)) == len({r["component_id"] for r in found})
     assert simhash.near_duplicates(written(spark, tmp_path / "e", [], DOCUMENTS)).count() == 0
+
+
+def test_numbers_of_rows_do_not_depend_on_splits(spark, tmp_path):
+    """As after a lost executor: files are packed into tasks anew. Also for rows that are no scan."""
+    docs = [(i % 50, f"text {i % 50} " * (1 + i % 7)) for i in range(400)]
+    df = documents(spark, tmp_path / "d", docs, parts=9)
+    scan = numbered(df, "number")
+    made = numbered(df.groupBy("text").count(), "number")
+    setting, found = "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(setting)
+    try:
+        for size in (before, "3000", "500"):
+            spark.conf.set(setting, size)
+            rows = spark.read.parquet(str(tmp_path / "d"))
+            found.append([sorted((r["number"], r["text"]) for r in frame.collect()) for frame in (
+                scan.select("*"), made.select("*"), numbered(rows, "number"))])
+    finally:
+        spark.conf.set(setting, before)
+    assert found[0] == found[1] == found[2] and found[0][0] == found[0][2]
+    assert [n for n, _ in found[0][0]] == list(range(400)) and scan.columns == [*df.columns, "number"]

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trialmetrics.session import shared_folder
@@ -38,9 +39,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def numbered(df: DataFrame, name: str) -> DataFrame:
-    """A long per row that tells equal rows apart. The same in every run over the same files, so ``df``
-    has to be a scan of a written table."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """A long per row that tells equal rows apart. The same in every job over the same files, however these are split
+    and packed into tasks: the rows of the files before it by name, and its place in its own. What is not a scan of
+    Parquet files is written once with its numbers."""
+    try:
+        place = df.metadataColumn("_metadata")
+        path, index = place["file_path"], place["row_index"]
+        files = df.select(path.alias("path"), index.alias("i"))
+        files.schema
+    except AnalysisException:
+        return stored(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    starts, at = [], 0
+    for file in sorted(files.groupBy("path").agg(F.max("i").alias("last"), F.count("*").alias("rows")).collect()):
+        if file["rows"] > file["last"] + 1:
+            raise ValueError(f"{file['path']} is read more than once")
+        starts.append((file["path"], at))
+        at += file["last"] + 1
+    of, start, held = (fresh(df, stem + name) for stem in ("file_of_", "start_of_", "path_of_"))
+    known = df.sparkSession.createDataFrame(starts, f"{held} string, {start} long")
+    placed = df.withColumns({of: path, name: index})
+    return placed.join(F.broadcast(known), placed[of] == known[held], "left").withColumn(
+        name, F.col(start) + F.col(name)).drop(of, start, held)
 
 
 def without(text: Column, characters: str) -> Column:

@@ -198,6 +198,10 @@ def _unpack(block: bytes, n: int) -> list[np.ndarray]:
 def _packed(buckets: Buckets, a, b, row, held) -> Iterator[pa.RecordBatch]:
     """Blocks of the pairs of some rows, by bucket."""
     first = int(row.min())
+    if int(row.max()) - first >= int(COUNT_ONLY):  # files of a task may be far apart
+        for part in np.unique(row >> 31):
+            yield from _packed(buckets, *(x[row >> 31 == part] for x in (a, b, row, held)))
+        return
     salts = buckets.salts(a, b)
     home = buckets.home(a, b)
     bucket = (home + np.where(salts > 1, row % salts, 0)) % buckets.number
