@@ -234,3 +234,22 @@ def test_shards(spark, tmp_path, partitions):
 
 def test_shards_of_nothing(spark, tmp_path):
     assert sharding.byte_shards(written(spark, tmp_path / "e", [], DOCUMENTS)).count() == 0
+
+
+def test_every_language_is_drawn(spark, tmp_path):
+    """Copies of few texts, and one text longer than the bound, among many others."""
+    docs = [(f"{i} some words of the usual kind", "en") for i in range(400)]
+    docs += [(f"algunas palabras {i % 3}", "es") for i in range(3_000)] + [("ein langes Wort nach dem anderen " * 400, "de")]
+    df = written(spark, tmp_path / "d", [(i, t, l) for i, (t, l) in enumerate(docs)], "doc_id long, text string, lang string")
+    sample = language_id.training_sample(df, "text", "lang", F.lit(True), bytes_per_language=1_000)
+    sizes = {name: sum(len(t) for l, t in sample if l == name) for name in ("de", "en", "es")}
+    assert sorted(t for l, t in sample if l == "es") == [b"algunas palabras %d" % i for i in range(3)]
+    assert 1_000 <= sizes["de"] <= 1_125 and 1_000 <= sizes["en"] <= 1_125 and max(len(t) for _, t in sample) <= 125
+    again = language_id.training_sample(df.repartition(5), "text", "lang", F.lit(True), bytes_per_language=1_000)
+    assert again == sample
+
+
+def test_no_model_rejects_no_text(spark, tmp_path):
+    df = written(spark, tmp_path / "d", [(1, "a word"), (2, None), (3, "12 3")], "doc_id long, text string")
+    trees = language_id.fitted(df.withColumn("lang", F.lit(None).cast("string")), "text", "lang", F.lit(True))
+    assert [r["doc_id"] for r in language_id.in_a_language(df, trees).collect()] == [1]

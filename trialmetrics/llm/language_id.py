@@ -20,7 +20,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from trialmetrics.llm.common import slices
+from trialmetrics.llm.common import slices, stored
 
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -163,23 +163,43 @@ def training_sample(
     df: DataFrame, text: str, language: str, where: Column, bytes_per_language: int = 1_000_000,
 ) -> list[tuple[str, bytes]]:
     """Texts and languages of about ``bytes_per_language`` bytes for each language, which is the bound on what
-    the driver holds. Texts, not rows, are drawn by their hash, so copies count once; a text of over an
-    eighth of the bound is not drawn. The order of rows and their partitioning make no difference."""
+    the driver holds. Texts, not rows, are drawn, those of the lowest hash until the bound is filled, so copies count
+    once; a text of over an eighth of the bound is drawn in pieces of that size. A language with any text has a sample.
+    The order of rows and their partitioning make no difference."""
+    most = max(1, bytes_per_language // 8)
     rows = df.filter(where & F.col(language).isNotNull() & (F.length(text) > 0)).select(
-        F.col(language).cast("string").alias("language"), F.col(text).cast("string").alias("text"))
-    rows = rows.filter(F.octet_length("text") <= bytes_per_language // 8)
-    held = rows.groupBy("language").agg(F.sum(F.octet_length("text")).alias("held")).collect()
-    share = F.lit(0.0)
-    for row in held:
-        share = F.when(F.col("language") == row["language"], bytes_per_language / row["held"]).otherwise(share)
-    drawn = rows.filter((F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)) < share)
-    found = drawn.groupBy("language", F.xxhash64("text").alias("hash")).agg(F.min("text").alias("text")).collect()
+        F.col(language).cast("string").alias("language"), F.col(text).cast("string").cast("binary").alias("text"))
+    rows = rows.withColumn("hash", F.xxhash64(F.col("text").cast("string"))).withColumn("size", F.octet_length("text"))
+
+    def pieces(texts: DataFrame) -> DataFrame:
+        nth = F.explode(F.sequence(F.lit(0), F.floor((F.col("size") - 1) / most).cast("int")))
+        by = F.when(F.col("nth") == 0, F.col("hash")).otherwise(F.xxhash64("hash", "nth"))
+        return texts.withColumn("nth", nth).withColumn("draw", F.pmod(by, F.lit(1 << 30)) / float(1 << 30))
+
+    distinct = stored(rows.groupBy("language", "hash").agg(F.max("size").alias("size")), "language-texts")
+    held = {r["language"]: r["held"] for r in distinct.groupBy("language").agg(F.sum("size").alias("held")).collect()}
+    share = {name: 1.25 * bytes_per_language / size for name, size in held.items()}
+
+    def drawn(texts: DataFrame) -> DataFrame:
+        below = F.lit(0.0)
+        for name, part in share.items():
+            below = F.when(F.col("language") == name, part).otherwise(below)
+        return pieces(texts).filter(F.col("draw") < below)
+
+    while True:
+        size = F.least(F.lit(most), F.col("size") - F.col("nth") * most)
+        have = {r["language"]: r["n"] for r in drawn(distinct).groupBy("language").agg(F.sum(size).alias("n")).collect()}
+        short = [name for name, size in held.items() if share[name] <= 1 and have.get(name, 0) < bytes_per_language]
+        if not short:
+            break
+        share.update((name, 2 * share[name]) for name in short)
+    found = drawn(rows).groupBy("language", "draw", "hash", "nth").agg(
+        F.min(F.expr(f"substring(text, nth * {most} + 1, {most})")).alias("piece")).collect()
     sample, sizes = [], Counter()
-    for row in sorted(found, key=lambda r: (r["language"], r["hash"])):
-        value = row["text"].encode()
-        if sizes[row["language"]] + len(value) <= 1.5 * bytes_per_language:
-            sizes[row["language"]] += len(value)
-            sample.append((row["language"], value))
+    for row in sorted(found, key=lambda r: (r["language"], r["draw"], r["hash"], r["nth"])):
+        if sizes[row["language"]] < bytes_per_language:
+            sizes[row["language"]] += len(row["piece"])
+            sample.append((row["language"], bytes(row["piece"])))
     return sample
 
 
@@ -223,10 +243,15 @@ def languages(df: DataFrame, trees: Broadcast, key: str = "doc_id", text: str =
 
 
 def in_a_language(df: DataFrame, trees: Broadcast, text: str = "text") -> DataFrame:
-    """``df`` with all its columns, without the rows whose language is ``und``; edge cases as above."""
+    """``df`` with all its columns, without the rows whose language is ``und``; edge cases as above, but if nothing was
+    trained on, every text with a letter stays."""
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, 1 << 20):
-            names, _ = _judged(batch.column(text).to_pylist(), trees.value)
-            yield batch.filter(pa.array([name != UNKNOWN for name in names]))
+            texts = batch.column(text).to_pylist()
+            if trees.value is None:
+                yield batch.filter(pa.array([bool(t and _LETTER.search(t)) for t in texts], pa.bool_()))
+            else:
+                names, _ = _judged(texts, trees.value)
+                yield batch.filter(pa.array([name != UNKNOWN for name in names]))
 
     return df.mapInArrow(keep, df.schema)
