@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trialmetrics.llm import exact_dedup, katz, language_id, pieces, pii, sharding, simhash, token_counts, warc
+from trialmetrics.llm import (
+    embeddings, exact_dedup, katz, language_id, periodic, pieces, pii, sharding, simhash, spelling, token_counts, warc)
 from trialmetrics.llm.common import id_remainder, new_folder
 from trialmetrics.llm.decontaminate import contamination
 
@@ -67,16 +68,30 @@ def _simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def _periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.run_digests(table(spark, folder, "documents"), change=periodic.with_repeats)
+
+
+def _embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"), least=0.93)
+
+
+def _spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"), slip=199, shortest=6, least=5, factor=5)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": _exact_dedup, "op2_warc": _warc, "op3_token_counts": _token_counts,
         "op4_sentencepiece": _sentencepiece,
         "op5_language_id": _language_id, "op6_sharding": _sharding, "op7_pii": _pii, "op8_lm_scores": _lm_scores,
-        "op9_decontamination": _decontamination, "op10_simhash": _simhash}
+        "op9_decontamination": _decontamination, "op10_simhash": _simhash, "op11_periodic_runs": _periodic_runs,
+        "op12_embedding_dedup": _embedding_dedup, "op13_spelling_variants": _spelling_variants}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op2_warc": WARC, "op6_sharding": SHARDING, "op9_decontamination": DECONTAMINATION}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op2_warc": WARC, "op6_sharding": SHARDING, "op9_decontamination": DECONTAMINATION,
+            "op12_embedding_dedup": EMBEDDING_DEDUP, "op13_spelling_variants": SPELLING_VARIANTS}
 
 
 EXACT_DEDUP = r"""
@@ -165,3 +180,58 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) A
        coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items i USING (doc_id)
 """
+
+EMBEDDING_DEDUP = """
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS r, vec_id, label,
+         CASE WHEN len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+                   AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN CAST(embedding AS DOUBLE[]) END AS v
+  FROM embeddings),
+links AS (
+  SELECT a.r AS x, b.r AS y
+  FROM rows a JOIN rows b ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v)
+  WHERE CASE WHEN a.v IS NOT NULL AND b.v IS NOT NULL THEN list_cosine_similarity(a.v, b.v) >= 0.93 ELSE false END),
+reached(r, other) AS (
+  SELECT r, r FROM rows UNION SELECT e.r, l.y FROM reached e JOIN links l ON e.other = l.x)
+SELECT any_value(a.vec_id) AS vec_id, CAST((SELECT count(*) FROM links WHERE x = e.r) AS BIGINT) AS n_links,
+       min(b.vec_id) AS component_id, any_value(a.vec_id) IS NOT DISTINCT FROM min(b.vec_id) AS kept
+FROM reached e JOIN rows a ON a.r = e.r JOIN rows b ON b.r = e.other GROUP BY e.r
+"""
+
+SPELLING_VARIANTS = rf"""
+WITH RECURSIVE crc AS ({_crc_table()}),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+  FROM documents),
+per_doc AS (SELECT doc, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY doc, run),
+hexed AS (SELECT *, string_split(hex(encode(doc || ':' || run)), '') AS hex FROM per_doc),
+hashed AS (
+  SELECT run, n, CAST(xor(list_reduce([4294967295::UBIGINT] ||
+    list_transform(range(len(hex) // 2), lambda i: ('0x' || hex[2 * i + 1] || hex[2 * i + 2])::UBIGINT),
+    lambda c, b: xor(c >> 8, steps[CAST(xor(c, b) & 255 AS INT) + 1])), 4294967295::UBIGINT) AS BIGINT) AS h
+  FROM hexed, crc),
+slipped AS (
+  SELECT n, CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substring(run, CAST(h % length(run) AS INT) + 2)
+                 ELSE run END AS word
+  FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS (
+  SELECT word, n, left(word, CAST(i AS INT)) AS head, substring(word, CAST(i AS INT) + 2) AS tail
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.head || a.tail = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.head || a.tail = b.word),
+found AS (SELECT word, count(*) AS n_near, max(other_n) AS most FROM near GROUP BY word),
+best AS (SELECT word, min(other) AS other FROM near JOIN found USING (word) WHERE other_n = most GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(f.n_near, 0) AS n_near, CASE WHEN f.most >= 5 * w.n THEN b.other END AS form,
+         CASE WHEN f.most >= 5 * w.n THEN f.most END AS form_n
+  FROM words w LEFT JOIN found f USING (word) LEFT JOIN best b USING (word)),
+followed(word, reached, step) AS (
+  SELECT word, word, 0 FROM formed
+  UNION ALL SELECT p.word, f.form, p.step + 1 FROM followed p JOIN formed f ON p.reached = f.word WHERE f.form IS NOT NULL),
+roots AS (SELECT word, max_by(reached, step) AS root FROM followed GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+"""
