@@ -4,6 +4,7 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from trialmetrics.plans import catalog
 from trialmetrics.sources.documents import read_experiment_documents
@@ -99,3 +100,19 @@ def test_tags_and_lookup(table):
     assert (exp.name, exp.first_day, exp.last_day, exp.control) == ("y", ago(days=6).date(), ago(days=3).date(), 0)
     with pytest.raises(LookupError):
         catalog.experiment_for(found, "unknown")
+
+
+def test_a_bad_end_of_a_superseded_document_is_harmless(table):
+    """Only the document that stands for a tag is judged."""
+    good, bad = document("new", ["a"], ago(days=10)), document("old", ["a"], ago(days=20), "yesterday")
+    assert names(table([bad, good])) == {"a": "new"}
+    with pytest.raises(Exception, match="not a phase end"):
+        names(table([document("old", ["a"], ago(days=20)), document("new", ["a"], ago(days=10), "yesterday")]))
+
+
+def test_the_experiment_in_force_of_each_tag(spark, table):
+    found = table([document("x", ["a"], ago(days=9)), document("y", ["b"], ago(days=20))])
+    both = found.union(found.withColumn("experiment_name", F.concat(F.lit("older "), "experiment_name")).withColumn(
+        "phase_start_time", F.expr("phase_start_time - INTERVAL 1 DAY"))).union(found.withColumn("tag", F.lit(None).cast("string")))
+    assert names(catalog.in_force(both)) == {"a": "x", "b": "y"} and catalog.in_force(both).columns == both.columns
+    assert [e.tag for e in catalog.experiments(both)] == ["a", "b"]

@@ -173,7 +173,7 @@ def test_from_documents_to_reports(spark, tmp_path):
     root = str(tmp_path / "out")
     run = registry.run_documents(sample_tables(spark), documents, at(20), root, names=["follows", "ads"])
     assert set(run.seconds) == {("a", "follows"), ("a", "ads")}
-    stored = spark.read.parquet(f"{root}/experiments")
+    stored = catalog.stored(spark, f"{root}/experiments")
     assert [e.tag for e in catalog.experiments(stored)] == ["a"] and catalog.experiment_for(stored, " a ").name == "exp"
     assert published(spark, root, "ads", "a").count() > 0
 

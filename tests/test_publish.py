@@ -1,10 +1,14 @@
 """Reports written, overwritten and read back; runs of many reports."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from build import JULY, day, given, tables
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from trialmetrics import Experiment, Tables, publish, registry
+from trialmetrics.plans import catalog
+from trialmetrics.publish import snapshots
 from trialmetrics.sources.schemas import SCHEMAS
 from trialmetrics.sources.tables import read_csv
 
@@ -113,3 +117,93 @@ def test_tables_in_a_folder_and_in_a_catalog(spark, tmp_path):
     loaded = Tables.in_catalog(spark, {"assignment": "raw_assignment"})["assignment"]
     assert [f.dataType for f in loaded.schema] == [f.dataType for f in SCHEMAS["assignment"]]
     assert sorted((r.user_id, r.variation_id, r.event_date) for r in loaded.collect()) == [("u", None, day(2)), ("v", 1, day(2))]
+
+
+def broken(report):
+    """The report with rows that fail when they are computed, after others were written."""
+    return report.withColumn("value", F.when(F.col("variation") == 1, F.raise_error("lost").cast("double")).otherwise(F.col("value")))
+
+
+@pytest.mark.parametrize("write", [
+    lambda frame, root: publish.publish(frame, root, "metric", "a"),
+    lambda frame, root: publish.publish_tags(frame.withColumn("tag", F.lit("a")), root, "metric", ["a", "b"]),
+    lambda frame, root: publish.publish_days(frame, root, "metric", "a"),
+    lambda frame, root: catalog.store(frame, f"{root}/metric")])
+def test_a_write_that_fails_leaves_the_old_rows(spark, tmp_path, report, write):
+    root = str(tmp_path)
+    write(report, root)
+    before = sorted(p.name for p in (tmp_path / "metric").iterdir())
+    with pytest.raises(Exception, match="lost"):
+        write(broken(report), root)
+    assert rows(snapshots.read(spark, f"{root}/metric").select(report.columns)) == rows(report)
+    assert sorted(p.name for p in (tmp_path / "metric").iterdir()) == before
+
+
+def test_a_crash_before_the_manifest_changes_nothing(spark, tmp_path, report, monkeypatch):
+    root = str(tmp_path)
+    publish.publish(report, root, "metric", "a")
+    with monkeypatch.context() as m:
+        m.setattr(snapshots.Files, "create", lambda *_: (_ for _ in ()).throw(RuntimeError("gone")))
+        with pytest.raises(RuntimeError):
+            publish.publish(report.limit(0), root, "metric", "a")
+    (tmp_path / "metric" / "_manifests" / "000000000002.json").write_text('{"schema": ')  # half a manifest
+    assert rows(publish.published(spark, root, "metric", "a")) == rows(report)
+    publish.publish(report.limit(1), root, "metric", "a")
+    assert publish.published(spark, root, "metric", "a").count() == 1
+
+
+def test_readers_that_have_begun_end(spark, tmp_path, report):
+    root = str(tmp_path)
+    publish.publish(report, root, "metric", "a")
+    begun = publish.published(spark, root, "metric", "a")
+    publish.publish(report.limit(0), root, "metric", "a")
+    assert rows(begun) == rows(report)
+    for _ in range(3):
+        publish.publish(report, root, "metric", "a")
+    assert len([p for p in (tmp_path / "metric").iterdir() if p.name.startswith("data-")]) == 2
+    with pytest.raises(FileNotFoundError):
+        publish.published(spark, root, "metric", "unknown")
+
+
+def test_writers_at_a_time(spark, tmp_path, report):
+    """Both commits count, though both were begun on the same manifest."""
+    tags = [f"t{i}" for i in range(8)]
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda tag: publish.publish(report, str(tmp_path), "metric", tag), tags))
+    assert {r.tag for r in publish.published(spark, str(tmp_path), "metric").collect()} == set(tags)
+
+
+def test_one_day_is_replaced(spark, tmp_path):
+    root = str(tmp_path)
+
+    def of(*days, value=1.0):
+        return spark.createDataFrame([(day(n), v, value) for n in days for v in (0, 1)], "event_date date, variation int, value double")
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in (tmp_path / "metric").rglob("*.parquet")}
+
+    publish.publish_days(of(2, 3, 4), root, "metric", "a")
+    publish.publish(of(3), root, "metric", "b")
+    before = files()
+    publish.publish_days(of(2, 3, 4, value=2.0), root, "metric", "a", days=[day(3)])
+    after = files()
+    assert {p: t for p, t in after.items() if p in before} == before and len(after) == len(before) + 1
+    assert rows(publish.published(spark, root, "metric", "a")) == rows(of(2, 4).union(of(3, value=2.0)))
+    publish.publish_days(of(), root, "metric", "a", days=[day(2), day(9)])
+    assert {r.event_date for r in publish.published(spark, root, "metric", "a").collect()} == {day(3), day(4)}
+    assert publish.published(spark, root, "metric", "b").count() == 2
+    with pytest.raises(ValueError):
+        publish.publish_days(of(3), root, "metric", "b", days=[day(3)])
+    publish.publish_days(of(), root, "metric", "a")
+    assert publish.published(spark, root, "metric", "a").count() == 0
+
+
+def test_one_day_of_a_catalog_table_is_replaced(spark, tmp_path, report):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS pub_days LOCATION '{tmp_path}/pub'")
+    three = report.union(spark.createDataFrame([(day(3), 0, 7.0)], report.schema))
+    for frame, tag, days in ((three, "a", ()), (three, "b", ()), (report.withColumn("value", F.lit(9.0)), "a", ()), (report.limit(0), "b", [day(3)])):
+        publish.publish_table(frame, "pub_days.metric", tag, day="event_date", days=days)
+    found = spark.table("pub_days.metric")
+    assert rows(found.filter("tag = 'a'").select("event_date", "variation", "value")) == [(day(2), 0, 9.0), (day(2), 1, 9.0), (day(3), 0, 7.0)]
+    assert rows(found.filter("tag = 'b'").select("event_date", "variation", "value")) == rows(report)
+    spark.sql("DROP DATABASE pub_days CASCADE")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from trialmetrics.experiment import Experiment
 from trialmetrics.operators.windows import moment
+from trialmetrics.publish import snapshots
 
 # An experiment is reported from its second whole day on and for at most 90 days.
 MIN_AGE_DAYS = 2
@@ -33,19 +34,14 @@ def by_tag(documents: DataFrame) -> DataFrame:
 def latest_by_tag(documents: DataFrame) -> DataFrame:
     """M3. Per tag the document whose last phase started latest, unknown starts last.
 
-    Among equal starts the first in input order. Only starts and positions are aggregated, and
-    combined on the map side, so a tag that most documents carry is no hot spot; the
-    documents are joined to the winners by their positions.
+    Among equal starts the first in input order. Documents are combined on the map side, so a tag that
+    most documents carry is no hot spot. What is judged of a document later is judged of the winners only.
     """
     rows = by_tag(documents)
     known = F.col("started").isNotNull()
-    order = [(~known).alias("unknown"),
-             F.when(known, -F.unix_seconds(F.col("started").cast("timestamp"))).alias("recency"), F.col("position")]
-    best = rows.groupBy("tag").agg(F.min(F.struct(*order)).alias("best")).select(
-        F.col("tag").alias("best_tag"), F.col("best.position").alias("best_position"))
-    same = F.col("tag").eqNullSafe(F.col("best_tag")) & F.col("position").eqNullSafe(F.col("best_position"))
-    found = rows.join(best, same).drop("best_tag", "best_position")
-    return found.select("tag", *[c for c in found.columns if c != "tag"])
+    order = F.struct((~known).alias("unknown"), F.when(known, -F.unix_seconds(F.col("started").cast("timestamp"))).alias("recency"), "position")
+    rest = [c for c in rows.columns if c != "tag"]
+    return rows.groupBy("tag").agg(F.min_by(F.struct(*rest), order).alias("best")).select("tag", "best.*")
 
 
 def eligible(latest: DataFrame, as_of: datetime) -> DataFrame:
@@ -63,8 +59,8 @@ def eligible(latest: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def _whole_days(start: str, end: Column) -> Column:
-    earlier = F.date_format(end, "HH:mm:ss") < F.date_format(start, "HH:mm:ss")
-    return F.datediff(end, start) - earlier.cast("int")
+    """Times 24 hours, rounded down; neither has fractions of a second."""
+    return F.floor(F.timestamp_diff("SECOND", F.col(start), end) / 86_400)
 
 
 def described(rows: DataFrame) -> DataFrame:
@@ -122,13 +118,24 @@ def _record(row: Row) -> Experiment:
 
 
 def store(table: DataFrame, path: str) -> DataFrame:
-    """M8. Replace the stored experiment table and return it as stored."""
-    table.write.mode("overwrite").parquet(path)
-    return table.sparkSession.read.schema(table.schema).parquet(path)
+    """M8. Replace the stored experiment table in one step and return it as stored."""
+    snapshots.replace(table, path)
+    return stored(table.sparkSession, path)
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The experiment table as last stored."""
+    return snapshots.read(spark, path)
+
+
+def in_force(table: DataFrame) -> DataFrame:
+    """M10 for all tags. The experiment of each tag, the one started last if there are several."""
+    recent = F.struct((-F.unix_micros(F.col("phase_start_time").cast("timestamp"))).alias("age"), "experiment_name")
+    rest = F.struct(*[c for c in table.columns if c != "tag"])
+    best = table.filter("tag IS NOT NULL").groupBy("tag").agg(F.min_by(rest, recent).alias("best"))
+    return best.select("tag", "best.*").select(*table.columns)
 
 
 def experiments(table: DataFrame) -> list[Experiment]:
-    """The experiment of each tag of a stored table, in the order of the tags."""
-    latest = Window.partitionBy("tag").orderBy(F.col("phase_start_time").desc(), "experiment_name")
-    rows = table.filter("tag IS NOT NULL").withColumn("rank", F.row_number().over(latest)).filter("rank = 1")
-    return [_record(row) for row in rows.orderBy("tag").toLocalIterator()]
+    """The experiment of each tag of a stored table, in the order of the tags: the list a run works through."""
+    return [_record(row) for row in in_force(table).orderBy("tag").toLocalIterator()]
