@@ -8,9 +8,12 @@ DISTINCT first), and the question becomes a bit test instead of a self-join per
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from trialmetrics.operators.windows import Days
+from trialmetrics.operators.windows import Days, EachDays
+from trialmetrics.sources.tables import Tables
 
 _BITS = 64
 
@@ -31,6 +34,14 @@ def active_bits(active: DataFrame, days: Days) -> DataFrame:
         "user_id", F.array(*names).alias("bits"))
 
 
+def observed_bits(t: Tables, days: Days | EachDays) -> tuple[DataFrame, date]:
+    """Bits of the days and the day of the first bit. From the kept history if there is one; then bits around
+    ``days`` are set too."""
+    if t.history is not None:
+        return t.history.active_bits(days)
+    return active_bits(t["active"], days), days.first
+
+
 def is_active(offset: str, bits: str = "bits") -> str:
     """SQL for: is the bit set that lies ``offset`` days after the window's first day?"""
     word = f"get({bits}, CAST(floor(({offset}) / {_BITS}) AS INT))"

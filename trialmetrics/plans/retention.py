@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from trialmetrics.experiment import Experiment
+from trialmetrics.experiment import Experiment, Experiments
 from trialmetrics.functions.proportions import beta_comparison, posterior_mean, wald_interval
 from trialmetrics.functions.ratios import ratio, total
 from trialmetrics.operators import activity, assignment, windows
 from trialmetrics.operators.events import stacked, of
+from trialmetrics.operators.history import home_countries
 from trialmetrics.sources.tables import Tables
 
 HORIZONS = (1, 3, 7, 15)
@@ -18,20 +19,30 @@ KEYS = ["dt", "variation"]
 COUNTERS = ["new_users", *[f"d{n}" for n in HORIZONS]]
 
 
-def _cohort_day(day: str, offset: str) -> str:
-    """SQL struct of a cohort day, given also as an offset into ``bits``, with a 0/1 per horizon."""
-    returned = ", ".join(f"'d{n}', CAST({activity.is_active(f'{offset} + {n}')} AS BIGINT)" for n in HORIZONS)
+def _cohort_day(day: str, offset: str, until: str | None = None) -> str:
+    """SQL struct of a cohort day, given also as an offset into ``bits``, with a 0/1 per horizon; days after the
+    offset ``until`` do not count."""
+    def came(n: int) -> str:
+        known = f" AND {offset} + {n} <= {until}" if until else ""
+        return f"({activity.is_active(f'{offset} + {n}')}{known})"
+
+    returned = ", ".join(f"'d{n}', CAST({came(n)} AS BIGINT)" for n in HORIZONS)
     return f"named_struct('dt', {day}, {returned})"
 
 
-def _first_assignments(t: Tables, exp: Experiment, between: tuple[datetime, datetime] | None = None) -> DataFrame:
-    """Per user the first assignment within the phase, or other bounds, and the first one of all."""
+def _first_assignments(t: Tables, exp: Experiment | Experiments, midnights: bool = False) -> DataFrame:
+    """Per user the first assignment within the phase, or between its midnights, and the first one of all."""
     key = F.struct("timestamp_assigned", "variation_id")
-    in_phase = F.col("timestamp_assigned").between(*map(windows.moment, between or (exp.phase_start, exp.phase_end)))
+    in_phase = F.col("timestamp_assigned").between(*windows.phase_times(exp, midnights))
+    rows, by = assignment.assignments(t, exp), [*exp.keys, "user_id"]
+    if t.history is not None:  # of the rows only those of the phase are read
+        phase = rows.filter(in_phase).groupBy(*by).agg(F.min(key).alias("phase"))
+        ever = assignment.kept_users(t, exp).select(*by, F.col("user_first").alias("ever"))
+        users = ever.join(phase, by, "full").withColumn("ever", F.least("ever", "phase"))
+    else:
+        users = rows.groupBy(*by).agg(F.min(F.when(in_phase, key)).alias("phase"), F.min(key).alias("ever"))
     return (
-        assignment.assignments(t, exp).groupBy("user_id")
-        .agg(F.min(F.when(in_phase, key)).alias("phase"), F.min(key).alias("ever"))
-        .select("user_id", F.col("phase.variation_id").alias("variation"),
+        users.select(*exp.keys, "user_id", F.col("phase.variation_id").alias("variation"),
                 F.to_date("ever.timestamp_assigned").alias("assigned_on"),
                 F.col("ever.variation_id").alias("assigned_to"))
     )
@@ -58,74 +69,77 @@ def _cohort_report(users: DataFrame, extra: list[str]) -> DataFrame:
     )
 
 
-def new_user_retention(t: Tables, exp: Experiment, strict_bounds: bool = False,
+def new_user_retention(t: Tables, exp: Experiment | Experiments, strict_bounds: bool = False,
                        parts: int | None = None) -> DataFrame:
     """R1. Users by first-visit day, and how many came back exactly 1, 3, 7, 15 days later.
 
     Activity is read inside the phase only. ``parts`` splits the users into hash parts,
     kept apart in column ``part``, for runs that add parts up later.
     """
-    days = windows.whole(exp)
-    bits = activity.active_bits(t["active"], windows.between_times(exp, strict_bounds))
-    origin = windows.between_times(exp, strict_bounds).first
+    days, observed = windows.whole(exp), windows.between_times(exp, strict_bounds)
+    bits, origin = activity.observed_bits(t, observed)
     day = F.to_date("first_visit_date")
-    visits = t["first_visit"].filter(days.contain(day)).select("user_id", day.alias("visit")).distinct()
-    cohort_day = _cohort_day("visit", f"datediff(visit, DATE '{origin}')")
+    visits = t["first_visit"].filter(days.contain(day)).select(F.col("user_id").alias("visitor"), day.alias("visit")).distinct()
+    users = _first_assignments(t, exp)
+    seen = F.col("user_id") == F.col("visitor")
+    until = f"{(observed.last - origin).days}" if t.history is not None else None
+    if exp.keys:
+        users = observed.bounded(days.bounded(users, "phase_from", "phase_to"), "observed_from", "observed_to")
+        seen &= F.col("visit").between(F.col("phase_from"), F.col("phase_to"))
+        until = f"datediff(observed_to, DATE '{origin}')"
+    cohort_day = _cohort_day("visit", f"datediff(visit, DATE '{origin}')", until)
     cohort = F.expr(f"CASE WHEN visit IS NOT NULL AND variation IS NOT NULL THEN array({cohort_day}) END")
-    users = (
-        _first_assignments(t, exp).join(visits, "user_id", "left").join(bits, "user_id", "left")
-        .withColumn("cohort", cohort)
-    )
+    users = users.join(visits, seen, "left").drop("visitor").join(bits, "user_id", "left").withColumn("cohort", cohort)
     if parts is None:
-        return _cohort_report(users, []).filter("new_users > 0")
+        return _cohort_report(users, exp.keys).filter("new_users > 0")
     part = F.pmod(F.crc32(F.col("user_id").cast("string").cast("binary")), F.lit(parts))
-    split = _cohort_report(users.withColumn("part", part.cast("int")), ["part"])
-    totals = Window.partitionBy("dt", "variation")
+    split = _cohort_report(users.withColumn("part", part.cast("int")), [*exp.keys, "part"])
+    totals = Window.partitionBy(*exp.keys, "dt", "variation")
     return split.withColumn("total_assigned", F.sum("total_assigned").over(totals)).filter("new_users > 0")
 
 
-def active_user_retention(t: Tables, exp: Experiment, strict_bounds: bool = False) -> DataFrame:
+def active_user_retention(t: Tables, exp: Experiment | Experiments, strict_bounds: bool = False) -> DataFrame:
     """R2. As R1 for every user active on a day; returns are looked up to 15 days past the phase."""
     days = windows.between_times(exp, strict_bounds)
-    bits = activity.active_bits(t["active"], days.widened(after=max(HORIZONS)))
-    users = _first_assignments(t, exp).join(bits, "user_id", "left")
-    cohort = F.expr(f"CASE WHEN variation IS NOT NULL THEN {_active_days(days)} END")
-    return _cohort_report(users.withColumn("cohort", cohort), []).filter("new_users > 0")
+    bits, origin = activity.observed_bits(t, days.widened(after=max(HORIZONS)))
+    users, active_days = _active_days(_first_assignments(t, exp).join(bits, "user_id", "left"), days, origin)
+    cohort = F.expr(f"CASE WHEN variation IS NOT NULL THEN {active_days} END")
+    return _cohort_report(users.withColumn("cohort", cohort), exp.keys).filter("new_users > 0")
 
 
-def _active_days(days: windows.Days) -> str:
-    """SQL array of the user's active days of the window, each with its returns."""
-    offsets = f"filter(sequence(0, {max(0, len(days) - 1)}), d -> {len(days)} > 0 AND {activity.is_active('d')})"
-    cohort_day = _cohort_day(f"date_add(DATE '{days.first}', d)", "d")
-    return f"transform({offsets}, d -> {cohort_day})"
+def _active_days(users: DataFrame, days: windows.Days | windows.EachDays, origin: date) -> tuple[DataFrame, str]:
+    """``users`` and a SQL array of their active days of the window, each with its returns."""
+    start = (days.first - origin).days
+    first, last, some = str(start), str(start + max(0, len(days) - 1)), f"{len(days)} > 0"
+    if isinstance(days, windows.EachDays):
+        users = days.bounded(users, "active_from", "active_to")
+        first, some = f"datediff(active_from, DATE '{origin}')", "active_from <= active_to"
+        last = f"datediff(greatest(active_from, active_to), DATE '{origin}')"
+    offsets = f"filter(sequence({first}, {last}), d -> {some} AND {activity.is_active('d')})"
+    return users, f"transform({offsets}, d -> {_cohort_day(f"date_add(DATE '{origin}', d)", 'd')})"
 
 
-def country_retention(t: Tables, exp: Experiment, distinct_totals: bool = True) -> DataFrame:
+def country_retention(t: Tables, exp: Experiment | Experiments, distinct_totals: bool = True) -> DataFrame:
     """R3. As R2 by the user's country, the greatest one found in the app events.
 
     ``total_assigned`` is of the day and variation over all countries. Without
     ``distinct_totals`` a user counts on every day and variation assigned.
     """
     days = windows.whole(exp)
-    midnight = datetime.min.time()
-    between = (datetime.combine(days.first, midnight), datetime.combine(days.last, midnight))
-    # The country is parsed before the shuffle, so that a user's events reach it as one value a task.
-    home = (t["app_event"].filter(activity.has_id(t["app_event"])).groupBy("user_id")
-            .agg(F.max(F.get_json_object("geo", "$.country")).alias("country")))
-    bits = activity.active_bits(t["active"], days.widened(after=max(HORIZONS)))
+    home = t.history.home() if t.history is not None else home_countries(t["app_event"])
+    bits, origin = activity.observed_bits(t, days.widened(after=max(HORIZONS)))
     member = "variation IS NOT NULL AND country IS NOT NULL AND bits IS NOT NULL"
-    users = (
-        _first_assignments(t, exp, between).join(home, "user_id", "left").join(bits, "user_id", "left")
-        .withColumn("cohort", F.expr(f"CASE WHEN {member} THEN {_active_days(days)} END"))
-    )
-    report = _cohort_report(users, ["country"])
+    users = _first_assignments(t, exp, midnights=True).join(home, "user_id", "left").join(bits, "user_id", "left")
+    users, active_days = _active_days(users, days, origin)
+    report = _cohort_report(users.withColumn("cohort", F.expr(f"CASE WHEN {member} THEN {active_days} END")), [*exp.keys, "country"])
+    keys = [*exp.keys, *KEYS]
     if distinct_totals:
-        everywhere = F.sum("total_assigned").over(Window.partitionBy(*KEYS))
+        everywhere = F.sum("total_assigned").over(Window.partitionBy(*keys))
         return report.withColumn("total_assigned", everywhere).filter("new_users > 0")
     assigned = assignment.assignments(t, exp).select(
-        "user_id", F.to_date("timestamp_assigned").alias("dt"), F.col("variation_id").alias("variation")).distinct()
-    totals = assigned.groupBy(*KEYS).agg(F.count("*").alias("total_assigned"))
-    return report.drop("total_assigned").filter("new_users > 0").join(totals, KEYS, "left").withColumn(
+        *exp.keys, "user_id", F.to_date("timestamp_assigned").alias("dt"), F.col("variation_id").alias("variation")).distinct()
+    totals = assigned.groupBy(*keys).agg(F.count("*").alias("total_assigned"))
+    return report.drop("total_assigned").filter("new_users > 0").join(totals, keys, "left").withColumn(
         "total_assigned", F.coalesce("total_assigned", F.lit(0)))
 
 
@@ -214,7 +228,7 @@ def overall_report(wide: DataFrame, exp: Experiment, filter_by_cutoff: bool = Tr
         F.round(F.coalesce(pooled, F.lit(0.0)), 6).alias("freq_uplift"))
 
 
-def image_use_rate(t: Tables, exp: Experiment) -> DataFrame:
+def image_use_rate(t: Tables, exp: Experiment | Experiments) -> DataFrame:
     """R10. Of the users who chatted on a day, the share that generated an image."""
     days = windows.without_last(exp)
     use = stacked(**{name: t[name].filter(days.contain("event_date")).select("user_id", "event_date")
@@ -223,7 +237,7 @@ def image_use_rate(t: Tables, exp: Experiment) -> DataFrame:
         F.max(of("chat")).alias("chatted"), F.max(of("image")).alias("generated"))
     report = (
         assignment.resolve(t, exp, "any_daily", days).join(flags, ["user_id", "event_date"])
-        .groupBy(F.col("event_date").alias("event_day"), "variation_id")
+        .groupBy(*exp.keys, F.col("event_date").alias("event_day"), "variation_id")
         .agg(total("chatted").alias("test_chat_users"), total(assignment.labelled(F.col("generated"))).alias("generate_user"))
         .filter("test_chat_users > 0")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Mapping
 from threading import Lock
+from typing import TYPE_CHECKING
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from trialmetrics.session import remove_folder, shared_folder, staged
 from trialmetrics.sources.schemas import SCHEMAS
 
+if TYPE_CHECKING:
+    from trialmetrics.operators.history import History
 
 #: Formats whose files hold the types of their columns.
 TYPED_FORMATS = {"parquet", "orc", "avro", "delta", "iceberg"}
@@ -24,11 +27,14 @@ class Tables:
     each resolved assignment once to the shared folder, for runs of many metrics. Every
     instance has a folder of its own, so runs do not disturb each other; :meth:`release` removes it.
     Reports of one instance may be computed from several threads.
+
+    With ``history``, what reports need of all days comes from there (:class:`trialmetrics.operators.history.History`).
     """
 
     def __init__(self, spark: SparkSession, opener: Callable[[str], DataFrame],
-                 share_assignments: bool = False):
+                 share_assignments: bool = False, history: History | None = None):
         self.spark = spark
+        self.history = history
         self._opener = opener
         self._open: dict[str, DataFrame] = {}
         self._shared: dict[str, DataFrame] = {}
@@ -54,7 +60,11 @@ class Tables:
 
     def sharing(self) -> Tables:
         """The same tables with assignments shared, in a folder of their own."""
-        return Tables(self.spark, self.__getitem__, share_assignments=True)
+        return Tables(self.spark, self.__getitem__, share_assignments=True, history=self.history)
+
+    def with_history(self, history: History) -> Tables:
+        """The same tables with a kept history, which has to be up to date with them."""
+        return Tables(self.spark, self.__getitem__, history=history)
 
     def release(self) -> None:
         """Remove what was shared. DataFrames built on it can no longer be computed."""
