@@ -9,11 +9,13 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from trialmetrics import Experiment, Tables
+from trialmetrics import Experiment, Tables, registry
+from trialmetrics.experiment import Experiments
 from trialmetrics.functions import means, proportions, ranks, resampling
 from trialmetrics.operators import assignment, windows
+from trialmetrics.operators.history import History
 from trialmetrics.plans import ads, business, catalog, chat, engagement, recharge, retention, subscription
-from trialmetrics.publish import export_csv, preview, publish, published, typed, with_headings, EDIT_HEADINGS, RETENTION_HEADINGS
+from trialmetrics.publish import export_csv, preview, publish, publish_days, published, typed, with_headings, EDIT_HEADINGS, RETENTION_HEADINGS
 from trialmetrics.session import shared_folder
 from trialmetrics.sources.documents import read_experiment_documents
 from trialmetrics.sources.fixtures import PHASE, fixture_tables
@@ -242,11 +244,9 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _looked_up(spark: SparkSession, folder: str) -> DataFrame:
-    """M8 to M10. The experiment table stored, and each of its tags looked up in it by what the jobs use."""
+    """M8 to M10. The experiment table stored, and the experiment of each of its tags."""
     table = catalog.store(_table(order_documents(spark, folder)), own_folder(spark, "experiments"))
-    found = [(e.tag, e.name, e.phase_start, e.phase_end, e.variations) for e in catalog.experiments(table)]
-    return spark.createDataFrame(found, "tag string, experiment_name string, phase_start_time timestamp_ntz, "
-                                 "phase_end_time timestamp_ntz, number_of_variations int")
+    return catalog.in_force(table).select("tag", "experiment_name", "phase_start_time", "phase_end_time", "number_of_variations")
 
 
 def _rolled_up(t: Tables, exp: Experiment) -> DataFrame:
@@ -258,7 +258,56 @@ def _wins(wide: DataFrame, exp: Experiment, trim: bool = True) -> DataFrame:
     return retention.daily_report(wide, exp, trim).select("dt", "variation", "control_users", "exp_users", "uplift", "chance_to_win")
 
 
+def _together(name: str) -> Query:
+    """M11. A report of several experiments in one pass, by tag."""
+    return lambda spark, folder: rounded(registry.REPORTS[name](fixture_tables(spark, folder), Experiments(SEVERAL)))
+
+
+def _run_together(spark: SparkSession, folder: str) -> DataFrame:
+    """M11 and S6. Reports of several experiments published by a run, and read back for all tags."""
+    root = own_folder(spark, "run")
+    registry.run_all(fixture_tables(spark, folder), SEVERAL, root, ["recharge", "order_value"])
+    return rounded(published(spark, root, "order_value"))
+
+
+def _days_replaced(spark: SparkSession, folder: str) -> DataFrame:
+    """S6 and S11. B1 published by day up to a day, without one day and with a wrong one; both are then replaced, and
+    the days after are added."""
+    report, root = business.order_value(fixture_tables(spark, folder), PHASE), own_folder(spark, "published")
+    days, late, wrong = windows.whole(PHASE), PHASE.day(5), PHASE.day(9)
+    early = report.filter((F.col("event_date") != F.lit(late)) & windows.Days(days.first, PHASE.day(20)).contain("event_date"))
+    publish_days(early.withColumn("total_revenue", F.when(F.col("event_date") == F.lit(wrong), -1.0).otherwise(F.col("total_revenue"))),
+                 root, "order_value", PHASE.tag)
+    publish_days(report, root, "order_value", PHASE.tag, days=[late, wrong])
+    publish_days(report, root, "order_value", PHASE.tag, days=[PHASE.day(i) for i in range(21, PHASE.span_days + 1)])
+    return rounded(published(spark, root, "order_value", PHASE.tag))
+
+
+def kept_tables(spark: SparkSession, folder: str) -> Tables:
+    """The tables with a history kept in three steps, each of which adds the rows of its own days."""
+    t, history = fixture_tables(spark, folder), History(spark, own_folder(spark, "history"))
+    cuts = [date(1900, 1, 1), date(2024, 1, 10), date(2024, 1, 20), date(2200, 1, 1)]
+    for i, days in enumerate(windows.Days(a, b).widened(after=-1) for a, b in zip(cuts, cuts[1:])):
+        history.add(t["active"].filter(days.contain("active_date")), t["assignment"].filter(days.contain("event_date")),
+                    t["app_event"].filter(F.pmod(F.xxhash64("user_id"), F.lit(3)) == i))
+    return t.with_history(history)
+
+
+def _kept(job: Callable[[Tables, Experiment], DataFrame], **options) -> Query:
+    return lambda spark, folder: rounded(job(kept_tables(spark, folder), PHASE, **options))
+
+
+def _kept_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """R4. Counters of parts of the users, from bits that three runs have added up."""
+    return retention.merge_partials(retention.new_user_retention(kept_tables(spark, folder), PHASE, parts=20))
+
+
 new, active = retention.new_user_retention, retention.active_user_retention
+#: Phases of the same assignments: the usual one, one inside it, and one that begins and ends later.
+SEVERAL = [PHASE, Experiment("exp_a", "inside", datetime(2024, 1, 10), datetime(2024, 1, 19, 12)),
+           Experiment("exp_a", "later", datetime(2024, 1, 17, 9), datetime(2024, 2, 6, 21))]
+TOGETHER = ["order_value", "revenue_per_user", "lifetime_value", "cancellation_rate", "click_rate", "chat_depth", "retention_new",
+            "retention_active", "recharge", "edits_of_phase"]
 IN_PHASE = (PHASE.phase_start, PHASE.phase_end)
 ONE_DAY = windows.Days(date(2024, 1, 15), date(2024, 1, 15))
 
@@ -365,6 +414,16 @@ def queries() -> dict[str, Query]:
         "b8_new_user_payment_rate_hard": _report(business.new_user_payment_rate, hard=True),
         "r3_country_retention_hard": _report(retention.country_retention, hard=True),
         "m8_m10_stored_and_looked_up": _looked_up,
+        **{f"m11_together_{name}": _together(name) for name in TOGETHER},
+        "m11_run_together": _run_together,
+        "s6_s11_days_replaced": _days_replaced,
+        "a2_first_ever_kept": _kept(assignment.resolve, policy="user_first"),
+        "a3_latest_day_kept": _kept(assignment.resolve, policy="user_latest_day"),
+        "a7_first_day_kept": _kept(assignment.resolve, policy="user_first_day"),
+        "r1_new_user_retention_kept": _kept(new),
+        "r2_active_user_retention_kept": _kept(active),
+        "r3_country_retention_kept": _kept(retention.country_retention),
+        "r4_merged_parts_kept": _kept_parts,
         "m1_documents_by_tag": _catalog(lambda docs: catalog.by_tag(docs).select("name", "tag", "started")),
         "m3_latest_by_tag": _catalog(lambda docs: catalog.latest_by_tag(docs).select("tag", "name", "started")),
         "m4_eligible": _catalog(lambda docs: catalog.eligible(catalog.latest_by_tag(docs), AS_OF).select(

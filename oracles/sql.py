@@ -8,6 +8,7 @@ of that, so an error in a restructuring shows.
 
 from __future__ import annotations
 
+import re
 from math import exp, factorial
 
 from oracles.views import on_hard_events, with_views
@@ -836,6 +837,30 @@ def _publication(found: dict[str, str]) -> dict[str, str]:
     }
 
 
+#: Tag, first and last day, start, end and length in days of the phases that are reported together.
+SEVERAL = [("demo", S, E, TS, TE, 26),
+           ("inside", "DATE '2024-01-10'", "DATE '2024-01-19'", "TIMESTAMP '2024-01-10 00:00:00'", "TIMESTAMP '2024-01-19 12:00:00'", 9),
+           ("later", "DATE '2024-01-17'", "DATE '2024-02-06'", "TIMESTAMP '2024-01-17 09:00:00'", "TIMESTAMP '2024-02-06 21:00:00'", 20)]
+TOGETHER = {
+    "m11_together_order_value": "b1_order_value", "m11_together_revenue_per_user": "b4_revenue_per_user",
+    "m11_together_lifetime_value": "b6_lifetime_value", "m11_together_cancellation_rate": "b10_cancellation_rate",
+    "m11_together_click_rate": "c1_click_rate", "m11_together_chat_depth": "c3_chat_depth",
+    "m11_together_retention_new": "r1_new_user_retention", "m11_together_retention_active": "r2_active_user_retention",
+    "m11_together_recharge": "g2_recharge_rolled_up", "m11_together_edits_of_phase": "e7_edits_of_phase", "m11_run_together": "b1_order_value"}
+KEPT = ("a2_first_ever", "a3_latest_day", "a7_first_day", "r1_new_user_retention", "r2_active_user_retention", "r3_country_retention", "r4_merged_parts")
+
+
+def at_phase(sql: str, first: str, last: str, start: str, end: str, length: int) -> str:
+    """The SQL of a report for another phase."""
+    for usual, other in ((TS, start), (TE, end), (S, first), (E, last), ("+ 26", f"+ {length}")):
+        sql = sql.replace(usual, f"<{other}>")
+    return re.sub(r"<((?:DATE|TIMESTAMP) '[^']*'|\+ \d+)>", r"\1", sql)
+
+
+def together(sql: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{tag}' AS tag, * FROM ({at_phase(sql, *phase)})" for tag, *phase in SEVERAL)
+
+
 HARD = ("t4_t5_uplifts", "r8_new_user_overall", "g3_recharge_uplift", "v2_ads_uplift", "c1_click_rate", "c2_start_rate",
         "c3_chat_depth", "e6_regenerations", "b8_new_user_payment_rate", "r3_country_retention")
 
@@ -844,4 +869,7 @@ def oracle_sql() -> dict[str, str]:
     found = {**_assignments(), **_windows(), **_retention(), **_business(), **_subscription(), **_phase_sums(),
              **_engagement(), **_chat(), **_statistics(), **_catalog()}
     found.update({f"{name}_hard": on_hard_events(found[name]) for name in HARD})
+    found.update({name: together(found[of]) for name, of in TOGETHER.items()})
+    found.update({f"{name}_kept": found[name] for name in KEPT})
+    found["s6_s11_days_replaced"] = found["b1_order_value"]
     return {name: half_up(text) for name, text in {**found, **_publication(found)}.items()}

@@ -57,7 +57,7 @@ def flagged_new(rows: DataFrame, first_visit: DataFrame, days: Days) -> DataFram
 
 def day_spine(groups: DataFrame, days: Days, day: str = "event_date") -> DataFrame:
     """Each row of ``groups`` (a handful of variations) once for every day."""
-    return groups.withColumn(day, F.explode(days.column()))
+    return days.spread(groups, day)
 
 
 def on_every_day(sums: DataFrame, group: str, days: Days, day: str = "event_date") -> DataFrame:

@@ -4,37 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from trialmetrics.experiment import Experiment
+from trialmetrics.experiment import Experiment, Experiments
 from trialmetrics.functions.means import assumed_normal_win
 from trialmetrics.functions.proportions import beta_comparison, relative_uplift
 from trialmetrics.functions.ratios import half_up, money, ratio, ratio_or_zero
 from trialmetrics.operators import assignment, windows
 from trialmetrics.operators.assignment import labelled_value
-from trialmetrics.operators.events import of, stacked
+from trialmetrics.operators.events import USER_DAY, of, stacked
 from trialmetrics.plans.recharge import beside_control
 from trialmetrics.sources.tables import Tables
 
 
-def ads(t: Tables, exp: Experiment, date_filter: bool = False) -> DataFrame:
+def ads(t: Tables, exp: Experiment | Experiments, date_filter: bool = False) -> DataFrame:
     """V1. Ad revenue and exposure per variation. A user counts in every variation seen.
 
     Ad events of all dates count unless ``date_filter`` limits them to the phase.
     """
     days = windows.whole(exp)
+    users = assignment.resolve(t, exp, "any", days)
     events = stacked(end=t["ads_end"], impression=t["ads_impression"])
     if date_filter:
         events = events.filter(days.contain("event_date"))
-    facts = events.groupBy("user_id").agg(
-        F.sum(F.when(of("end"), F.col("ad_revenue"))).alias("revenue"),
-        F.count(F.when(of("impression"), 1)).alias("shown"))
-    sums = assignment.resolve(t, exp, "any", days).join(facts, "user_id", "left").groupBy("variation_id").agg(
+    events = events.select(*USER_DAY, F.when(of("end"), F.col("ad_revenue")).alias("revenue"), of("impression").cast("int").alias("shown"))
+    added = {name: F.sum(name) for name in ("revenue", "shown")}
+    if exp.keys and date_filter:
+        events = events.groupBy(*USER_DAY).agg(*[value.alias(name) for name, value in added.items()])
+        with_ads = assignment.with_sums(users, events, days, exp, added)
+    else:
+        with_ads = users.join(events.groupBy("user_id").agg(*[value.alias(name) for name, value in added.items()]), "user_id", "left")
+    sums = with_ads.groupBy(*exp.keys, "variation_id").agg(
         F.count("*").alias("total_active_users"), money(labelled_value("revenue")).alias("revenue"),
         F.count(F.when(labelled_value("shown") > 0, 1)).alias("ad_exposure_users"),
         F.coalesce(F.sum(labelled_value("shown")), F.lit(0)).alias("ad_exposure_count"))
     revenue = F.coalesce("revenue", F.lit(0.0))
     ecpm = half_up(ratio("revenue", "ad_exposure_count") * 1000, 4)
     return sums.select(
-        "variation_id", "total_active_users", revenue.alias("total_ad_revenue"),
+        *exp.keys, "variation_id", "total_active_users", revenue.alias("total_ad_revenue"),
         ratio(revenue, "total_active_users", 4).alias("ad_arpu"), "ad_exposure_users",
         ratio("ad_exposure_users", "total_active_users", 4).alias("ad_exposure_rate"), "ad_exposure_count",
         F.when(F.col("ad_exposure_count") == 0, F.lit(0.0)).otherwise(ecpm).alias("ecpm"),

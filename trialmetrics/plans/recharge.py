@@ -4,39 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from trialmetrics.experiment import Experiment
+from trialmetrics.experiment import Experiment, Experiments
 from trialmetrics.functions.means import assumed_normal_win
 from trialmetrics.functions.proportions import beta_comparison, relative_uplift
 from trialmetrics.functions.ratios import money, ratio
 from trialmetrics.operators import assignment, windows
 from trialmetrics.operators.assignment import labelled_value
+from trialmetrics.operators.events import USER_DAY
 from trialmetrics.sources.tables import Tables
 
 
-def recharge(t: Tables, exp: Experiment, strict_bounds: bool = False) -> DataFrame:
+def recharge(t: Tables, exp: Experiment | Experiments, strict_bounds: bool = False) -> DataFrame:
     """G1. Revenue, conversion and orders per payer. A user counts in every variation seen."""
     days = windows.between_times(exp, strict_bounds)
-    bought = t["currency"].filter(days.contain("event_date")).groupBy("user_id").agg(
-        F.sum("revenue").alias("revenue"), F.count("*").alias("orders"))
     users = assignment.resolve(t, exp, "any", days)
-    sums = users.join(bought, "user_id", "left").groupBy("variation_id").agg(
+    bought = t["currency"].filter(days.contain("event_date")).withColumn("orders", F.lit(1))
+
+    added = {name: F.sum(name) for name in ("revenue", "orders")}
+    if exp.keys:
+        bought = bought.groupBy(*USER_DAY).agg(*[value.alias(name) for name, value in added.items()])
+    sums = assignment.with_sums(users, bought, days, exp, added).groupBy(*exp.keys, "variation_id").agg(
         F.count("*").alias("total_active_users"), money(labelled_value("revenue")).alias("total_recharge_revenue"),
         F.sum(labelled_value("orders")).alias("orders"), F.count(labelled_value("orders")).alias("payers"))
     converted = F.when(F.col("payers") > 0, F.col("payers"))
     return sums.select(
-        F.col("variation_id").alias("variation"), "total_active_users", "total_recharge_revenue",
+        *exp.keys, F.col("variation_id").alias("variation"), "total_active_users", "total_recharge_revenue",
         ratio("total_recharge_revenue", "total_active_users", 4).alias("recharge_ARPU"),
         ratio(converted, "total_active_users", 4).alias("recharge_conversion_rate"),
         ratio("orders", converted, 4).alias("recharge_frequency"))
 
 
 def rolled_up(report: DataFrame) -> DataFrame:
-    """G2. One row per variation; rows without a variation are dropped."""
-    sums = report.filter("variation IS NOT NULL").groupBy("variation").agg(
+    """G2. One row per variation, and tag if there is one; rows without a variation are dropped."""
+    keys = [name for name in ("tag", "variation") if name in report.columns]
+    sums = report.filter("variation IS NOT NULL").groupBy(*keys).agg(
         F.sum("total_active_users").alias("total_active_users"),
         *[money(name).alias(name) for name in ("total_recharge_revenue", "recharge_conversion_rate", "recharge_frequency")])
     return sums.select(
-        "variation", "total_active_users", "total_recharge_revenue",
+        *keys, "total_active_users", "total_recharge_revenue",
         ratio("total_recharge_revenue", "total_active_users", 4).alias("recharge_ARPU"),
         "recharge_conversion_rate", "recharge_frequency")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from trialmetrics.experiment import Experiment
+from trialmetrics.experiment import Experiment, Experiments
 from trialmetrics.functions.ratios import ratio_or_zero, total
 from trialmetrics.operators import assignment, windows
 from trialmetrics.operators.assignment import labelled, labelled_value
@@ -14,7 +14,7 @@ from trialmetrics.sources.tables import Tables
 REPORT = ["event_date", "variation_id"]
 
 
-def subscription_orders(t: Tables, exp: Experiment, fanout: bool = False) -> DataFrame:
+def subscription_orders(t: Tables, exp: Experiment | Experiments, fanout: bool = False) -> DataFrame:
     """U1. New subscribers, subscription and currency orders, repeat and renewal rates.
 
     ``fanout`` reproduces the original report, where the orders of each kind are counted
@@ -35,7 +35,7 @@ def subscription_orders(t: Tables, exp: Experiment, fanout: bool = False) -> Dat
     def whole(name: str):
         return F.coalesce(F.sum(labelled_value(name)), F.lit(0))
 
-    sums = assignment.resolve(t, exp, "daily_first", days).join(facts, USER_DAY, "left").groupBy(*REPORT).agg(
+    sums = assignment.resolve(t, exp, "daily_first", days).join(facts, USER_DAY, "left").groupBy(*exp.keys, *REPORT).agg(
         F.count("*").alias("experiment_user_count"), total(labelled(F.col("new_subs") > 0)).alias("new_subscribe_users"),
         whole("subs").alias("n_subs"), whole("fluxes").alias("n_fluxes"), whole("repeat_subs").alias("repeat_subs"),
         whole("renewals").alias("renewals"), whole("repeat_fluxes").alias("repeat_fluxes"))
@@ -43,7 +43,7 @@ def subscription_orders(t: Tables, exp: Experiment, fanout: bool = False) -> Dat
     by_flux = F.greatest("n_fluxes", one) if fanout else one
     by_sub = F.greatest("n_subs", one) if fanout else one
     counted = sums.select(
-        *REPORT, "experiment_user_count", "new_subscribe_users",
+        *exp.keys, *REPORT, "experiment_user_count", "new_subscribe_users",
         (F.col("n_subs") * by_flux).alias("subscribe_orders"),
         (F.col("repeat_subs") * by_flux).alias("subscribe_repeat_orders"),
         (F.col("renewals") * by_flux).alias("subscribe_renew_orders"),
@@ -52,7 +52,7 @@ def subscription_orders(t: Tables, exp: Experiment, fanout: bool = False) -> Dat
     repeat = F.col("subscribe_repeat_orders") + F.col("flux_repeat_orders")
     counted = counted.withColumn("total_orders", F.col("subscribe_orders") + F.col("flux_orders"))
     return counted.select(
-        *REPORT, "experiment_user_count", "new_subscribe_users",
+        *exp.keys, *REPORT, "experiment_user_count", "new_subscribe_users",
         ratio_or_zero("new_subscribe_users", "experiment_user_count").alias("subscribe_rate"),
         "subscribe_orders", "subscribe_repeat_orders", "subscribe_renew_orders",
         ratio_or_zero("subscribe_repeat_orders", "subscribe_orders").alias("subscribe_repurchase_rate"),
@@ -62,7 +62,7 @@ def subscription_orders(t: Tables, exp: Experiment, fanout: bool = False) -> Dat
         "total_orders", ratio_or_zero(repeat, "total_orders").alias("repurchase_rate"))
 
 
-def _subscriber_rate(t: Tables, exp: Experiment, days: windows.Days, only_new: bool, users: str, rate: str) -> DataFrame:
+def _subscriber_rate(t: Tables, exp: Experiment | Experiments, days: windows.Days | windows.EachDays, only_new: bool, users: str, rate: str) -> DataFrame:
     """Assigned users of a day and how many of them bought a subscription in either store that day."""
     def bought(store: str, kind: str) -> DataFrame:
         day = F.to_date("sub_date")
@@ -74,18 +74,18 @@ def _subscriber_rate(t: Tables, exp: Experiment, days: windows.Days, only_new: b
     buyers = bought("google", "4").unionByName(bought("apple", "SUBSCRIBED")).distinct().withColumn("bought", F.lit(True))
     sums = (
         assignment.resolve(t, exp, "daily_first", days).join(buyers, USER_DAY, "left")
-        .groupBy(F.col("event_date").alias("sub_date"), "variation_id")
+        .groupBy(*exp.keys, F.col("event_date").alias("sub_date"), "variation_id")
         .agg(F.count("*").alias("group_user_count"),
              total(labelled(F.col("bought"))).alias(users))
     )
     return sums.withColumn(rate, ratio_or_zero(users, "group_user_count", 4))
 
 
-def subscription_rate(t: Tables, exp: Experiment) -> DataFrame:
+def subscription_rate(t: Tables, exp: Experiment | Experiments) -> DataFrame:
     """U2. Share of a day's assigned users with a subscription order."""
     return _subscriber_rate(t, exp, windows.without_first(exp), False, "new_subscribe_users", "order_rate")
 
 
-def first_subscription_rate(t: Tables, exp: Experiment) -> DataFrame:
+def first_subscription_rate(t: Tables, exp: Experiment | Experiments) -> DataFrame:
     """U3. As U2 for first subscriptions only."""
     return _subscriber_rate(t, exp, windows.whole(exp), True, "first_subscribe_users", "first_subscribe_rate")

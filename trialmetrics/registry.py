@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import time
 from collections.abc import Callable, Iterable
@@ -12,14 +13,15 @@ from functools import partial
 
 from pyspark.sql import DataFrame
 
-from trialmetrics.experiment import Experiment
+from trialmetrics.experiment import Experiment, Experiments
 from trialmetrics.plans import ads, business, catalog, chat, engagement, recharge, retention, subscription
-from trialmetrics.publish import publish, published
+from trialmetrics.publish import publish, publish_tags, published
+from trialmetrics.publish.snapshots import Files
 from trialmetrics.sources.tables import Tables
 
 log = logging.getLogger(__name__)
 
-Report = Callable[[Tables, Experiment], DataFrame]
+Report = Callable[[Tables, Experiment | Experiments], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -96,6 +98,7 @@ REPORTS = {name: job for module in MODULES.values() for name, job in module.item
 class RunLog:
     seconds: dict[tuple[str, str], float] = field(default_factory=dict)
     failures: dict[tuple[str, str], Exception] = field(default_factory=dict)
+    skipped: set[tuple[str, str]] = field(default_factory=set)
 
 
 class RunFailed(RuntimeError):
@@ -118,20 +121,55 @@ class BaseFailed(RuntimeError):
     """A derived report was not made, because what is published of its base is of an earlier run."""
 
 
+class Record:
+    """What runs over one version of the input have made, a small file for each tag and report."""
+
+    def __init__(self, t: Tables, root: str, version: str | None):
+        self.files = Files(t.spark, f"{root}/_runs/{version}") if version else None
+
+    def has(self, tag: str, name: str) -> bool:
+        place = f"{tag}/{name}.json"
+        return bool(self.files) and f"{name}.json" in self.files.names(tag) and json.loads(self.files.read(place))["outcome"] == "made"
+
+    def put(self, tag: str, name: str, seconds: float, error: Exception | None) -> None:
+        if self.files:
+            outcome = {"outcome": "failed" if error else "made", "seconds": round(seconds, 3), "error": error and str(error)[:1000]}
+            self.files.remove(f"{tag}/{name}.json")
+            self.files.create(f"{tag}/{name}.json", json.dumps(outcome))
+
+
 def run_all(t: Tables, experiments: Iterable[Experiment], root: str, names: Iterable[str] | None = None,
-            at_once: int = 4, share: bool = True) -> RunLog:
+            at_once: int = 4, share: bool = True, together: bool = True, version: str | None = None) -> RunLog:
     """Every report for every experiment. One failure does not stop the others; all of
     them are raised together at the end.
 
-    A derived report is made after its base, which is run even if it is not among ``names``;
-    if the base fails, so does the derived report, and its last published rows stay. ``at_once``
-    reports are submitted together. With ``share`` an assignment that several reports need is
-    resolved once and removed at the end.
+    ``together`` makes a report of all experiments in one job, which reads each source once; if it fails, they are
+    tried one at a time, so that only those fail which have to. A derived report is made from published
+    rows, after its base, which is run even if it is not among ``names``; if the base fails, so does the derived
+    report, and its last published rows stay. ``at_once`` reports are submitted together. With ``share`` an
+    assignment that several reports need is resolved once and removed at the end.
+
+    ``version`` names the state of the input. What an earlier run of the same version has made is skipped, but for
+    derived reports whose base is made again.
     """
     run, names, experiments = RunLog(), list(names or REPORTS), list(experiments)
     derived = [name for name in names if isinstance(REPORTS[name], Derived)]
     first = list(dict.fromkeys([*(n for n in names if n not in derived), *(REPORTS[n].base for n in derived)]))
-    tables = t.sharing() if share else t
+    tables, record = t.sharing() if share else t, Record(t, root, version)
+
+    def needed(exp: Experiment, name: str) -> bool:
+        again = name in derived and (exp.tag, REPORTS[name].base) in run.seconds
+        if again or not record.has(exp.tag, name):
+            return True
+        run.skipped.add((exp.tag, name))
+        return False
+
+    def ended(exp: Experiment, name: str, started: float, error: Exception | None = None) -> None:
+        run.seconds[exp.tag, name] = seconds = time.perf_counter() - started
+        if error:
+            run.failures[exp.tag, name] = error
+        record.put(exp.tag, name, seconds, error)
+        log.info("%s for %s: %.1f s", name, exp.tag, seconds)
 
     def made(job: tuple[Experiment, str]) -> None:
         exp, name = job
@@ -142,14 +180,28 @@ def run_all(t: Tables, experiments: Iterable[Experiment], root: str, names: Iter
             run_report(tables, exp, name, root)
         except Exception as error:
             log.exception("%s failed for %s", name, exp.tag)
-            run.failures[exp.tag, name] = error
-        run.seconds[exp.tag, name] = time.perf_counter() - started
-        log.info("%s for %s: %.1f s", name, exp.tag, run.seconds[exp.tag, name])
+            ended(exp, name, started, error)
+        else:
+            ended(exp, name, started)
+
+    def made_together(name: str) -> None:
+        started, wanted = time.perf_counter(), [exp for exp in experiments if needed(exp, name)]
+        if together and len(wanted) > 1:
+            try:
+                publish_tags(REPORTS[name](tables, Experiments(wanted)), root, name, [exp.tag for exp in wanted])
+            except Exception:
+                log.exception("%s failed for all tags; they are tried one at a time", name)
+            else:
+                for exp in wanted:
+                    ended(exp, name, started)
+                return
+        for exp in wanted:
+            made((exp, name))
 
     try:
         with ThreadPoolExecutor(at_once) as pool:
-            for step in (first, derived):
-                list(pool.map(made, [(exp, name) for exp in experiments for name in step]))
+            list(pool.map(made_together, first))
+            list(pool.map(made, [(exp, name) for exp in experiments for name in derived if needed(exp, name)]))
     finally:
         if share:
             tables.release()

@@ -50,8 +50,10 @@ def fixture_tables(spark: SparkSession, folder: str, hard: bool = False, **optio
         if hard:
             late = F.to_date("ts") > F.lit(PHASE.last_day)
             variation = F.when(_nth(31) == 0, None).when(late, 3).otherwise(variation)
+        # Not a literal, which would be folded out of joins that real ids stay in.
+        experiment = F.when(F.col("event_id").isNotNull(), "exp_a")
         return events("signup", "view").select(
-            "user_id", F.lit("exp_a").alias("experiment_id"),
+            "user_id", experiment.alias("experiment_id"),
             variation.cast("int").alias("variation_id"),
             F.col("ts").alias("timestamp_assigned"), day)
 
