@@ -82,6 +82,30 @@ def test_streaming_search_without_words():
         assert codec.encode(text) == library.encode(text)
 
 
+@pytest.mark.parametrize("together, remembered", [(1, 1), (7, 5), (1 << 14, 250_000)])
+def test_words_are_searched_together(monkeypatch, together, remembered):
+    """Whatever is searched at a time, and remembered; long words go by the window."""
+    monkeypatch.setattr(pieces, "TOGETHER", together)
+    monkeypatch.setattr(pieces, "REMEMBERED", remembered)
+    library, codec = sentencepiece.SentencePieceProcessor(model_file=PIECES), pieces.Codec(PIECES)
+    texts = [(t or "")[:500] for t in odd_texts()[:60]] + ["a" * 70, "日本語 über " * 9, "\u2581\u2581x  y ", "🙂🙂é\x00"]
+    found = [np.frombuffer(ids, np.int32).tolist() for ids in codec.encode_all(texts)]
+    assert found == library.encode(texts) == [codec.encode(t) for t in texts]
+    assert max(map(len, codec.known.young)) <= 4 * codec.longest and len(codec.steps.young) <= remembered
+    if remembered > 1_000:
+        before = dict(codec.known.young)
+        assert codec.encode_all(texts) and codec.known.young == before
+
+
+def test_tables_of_numbers():
+    draw = np.random.default_rng(3)
+    keys = np.unique(draw.integers(0, 1 << 40, 5_000))
+    table = pieces._Table(keys, np.arange(len(keys)))
+    assert table.get(keys).tolist() == list(range(len(keys)))
+    other = np.setdiff1d(draw.integers(0, 1 << 40, 5_000), keys)
+    assert (table.get(other) == -1).all() and pieces._Table(keys[:0], keys[:0]).get(keys[:3]).tolist() == [-1] * 3
+
+
 def test_unigram_scores_by_viterbi():
     """The same pieces as a unigram model: the greatest sum of scores, as the library finds it."""
     proto = sentencepiece_model_pb2.ModelProto()
@@ -96,7 +120,7 @@ def test_unigram_scores_by_viterbi():
     codec.additive, codec.scores = True, {p.piece: p.score for p in proto.pieces if p.type == pieces.NORMAL}
     codec.unknown_score = min(codec.scores.values()) - 10
     for by_word in (True, False):
-        codec.by_word, codec.known = by_word, {}
+        codec.by_word, codec.known = by_word, pieces.Remembered(10)
         for text in ["".join(draw.choice("theringaonst é日") for _ in range(draw.randrange(1, 300))) for _ in range(60)]:
             assert codec.encode(text) == library.encode(text)
 

@@ -13,7 +13,7 @@ allowed, so one path survives at each place and the same window and convergence
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -26,10 +26,32 @@ from trialmetrics.llm.common import slices
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
-REMEMBERED = 250_000  # words, and steps; beyond it a worker starts anew
+REMEMBERED = 250_000  # words, and steps; twice that is held, and what was not asked for lately goes first
+TOGETHER = 1 << 14  # words that are searched together
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
+class Remembered:
+    """A table of bounded size: entries that are asked for stay, the others go when the younger half is full."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.turn()
+        self.young[key] = value
+
+    def turn(self) -> None:
+        self.young, self.old = {}, self.young
+
+
 class Codec:
     def __init__(self, path: str):
         model = sentencepiece_model_pb2.ModelProto()
@@ -54,26 +76,43 @@ class Codec:
                         for p in model.pieces]
         # If no piece goes on with a new word, every path has a boundary before each word.
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.steps: dict[tuple[str, str], bool] = {}
+        self.table = None if self.additive else _Backwards(self.ids)
+        self.known = Remembered(REMEMBERED)  # words and their ids, four bytes each
+        self.copied_steps, self.looked_up = _Table(np.zeros(0, np.int64), np.zeros(0, np.int64)), 0
+        self.steps = Remembered(REMEMBERED)  # pairs of pieces by number, and whether the step is allowed
 
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        marked = self.prefix + text.replace(" ", SPACE)
+        return np.frombuffer(self.encode_all([text])[0], np.int32).tolist()
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, four bytes each: the texts of a batch are put together from those of their words."""
+        marked = [self.prefix + text.replace(" ", SPACE) if text else "" for text in texts]
         if not self.by_word:
-            return list(self._search(marked))
-        out: list[int] = []
-        known = self.known
-        for word in _WORD.findall(marked):
-            ids = known.get(word)
-            if ids is None:
-                ids = tuple(self._search(word))
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                if len(word) <= 4 * self.longest:
-                    known[word] = ids
-            out += ids
+            return [_packed(self._search(text)) for text in marked]
+        words = [_WORD.findall(text) for text in marked]
+        different = set(chain.from_iterable(words))
+        new = different - self.known.young.keys()
+        if len(self.known.young) + len(new) > self.known.size:
+            self.known.turn()
+            new = different
+        known = self.known.young
+        long, search = [], []
+        for word in new:
+            ids = self.known.old.get(word)
+            if ids is not None:
+                known[word] = ids
+            elif self.additive or len(word) > 4 * self.longest:
+                known[word] = _packed(self._search(word))
+                if len(word) > 4 * self.longest:
+                    long.append(word)
+            else:
+                search.append(word)
+        search.sort(key=len, reverse=True)
+        for i in range(0, len(search), TOGETHER):
+            known.update(zip(search[i:i + TOGETHER], self._together(search[i:i + TOGETHER])))
+        out = [b"".join(map(known.__getitem__, of)) for of in words]
+        for word in long:
+            del known[word]
         return out
 
     def decode(self, ids) -> str:
@@ -81,6 +120,88 @@ class Codec:
         joined = b"".join(map(self.surface.__getitem__, ids))
         return (joined[1:] if self.prefix and joined.startswith(b" ") else joined).decode(errors="replace")
 
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Ids of different words that end before a window is looked at for a boundary, the longest first: the search of
+        :meth:`_search` by steps, one place of all words after the other."""
+        table = self.table
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        symbols = np.zeros((len(words), int(sizes[0])), np.int32)
+        symbols[np.arange(symbols.shape[1]) < sizes[:, None]] = table.symbols(words)
+        last = np.full((len(words), symbols.shape[1] + 1), -1, np.int64)  # number of the last piece of the path to a place
+        back = np.zeros(last.shape, np.int8)  # letters of that piece
+        last[:, 0] = table.beginning
+        for end in range(1, symbols.shape[1] + 1):
+            n = int(np.searchsorted(-sizes, -end, "right"))
+            rows, nodes, found = np.arange(n), np.zeros(n, np.int64), []
+            for letters in range(1, min(end, self.longest) + 1):  # back from the end as far as some piece goes on
+                here = symbols[rows, end - letters]
+                known, nodes = table.before(nodes, here)
+                if letters == 1:
+                    piece = np.full(n, -1)
+                    piece[known] = table.piece[nodes]
+                    found.append((rows, np.where(piece < 0, table.single + here, piece)))
+                    rows = rows[known]
+                else:
+                    rows, piece = rows[known], table.piece[nodes]
+                    found.append((rows[piece >= 0], piece[piece >= 0]))
+                if not len(rows):
+                    break
+            open_ = np.ones(n, bool)
+            for letters in range(len(found), 0, -1):
+                rows, piece = found[letters - 1]
+                previous = last[rows, end - letters]
+                some = open_[rows] & (previous >= 0)
+                rows, piece, previous = rows[some], piece[some], previous[some]
+                allowed = self._allowed_steps(previous, piece)
+                rows = rows[allowed]
+                last[rows, end], back[rows, end], open_[rows] = piece[allowed], letters, False
+        at, paths = sizes.copy(), []
+        while at.any():
+            rows = np.flatnonzero(at)
+            paths.append((rows, last[rows, at[rows]]))
+            at[rows] -= back[rows, at[rows]]
+        rows, pieces = (np.concatenate(x[::-1]) for x in zip(*paths))
+        order = np.argsort(rows, kind="stable")  # the pieces of a word in the order of the text
+        rows, pieces = rows[order], pieces[order]
+        ends = np.cumsum(np.bincount(rows, minlength=len(words))).tolist()
+        normal = np.ones(len(words), bool)
+        normal[rows[pieces >= table.single]] = False
+        flat = table.ids[np.minimum(pieces, len(table.ids) - 1)].tobytes() if len(table.ids) else b""
+        out = [flat[4 * start:4 * stop] for start, stop in zip([0, *ends], ends)]
+        for i in np.flatnonzero(~normal).tolist():
+            out[i] = _packed(self._spelled(words[i], pieces[ends[i - 1] if i else 0:ends[i]].tolist()))
+        return out
+
+    def _spelled(self, word: str, pieces: list[int]) -> Iterator[int]:
+        at = 0
+        for piece in pieces:
+            size = len(self.table.pieces[piece]) if piece < self.table.single else 1
+            yield from self._ids_of(word[at:at + size])
+            at += size
+
+    def _allowed_steps(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether these steps are allowed. Most are found in a copy of what is remembered."""
+        pairs = left * self.table.numbers + right
+        found = self.copied_steps.get(pairs)
+        unknown = np.flatnonzero(found < 0)
+        if len(unknown):
+            new, of = np.unique(pairs[unknown], return_inverse=True)
+            found[unknown] = np.fromiter(map(self._allowed_pair, new.tolist()), bool, len(new))[of]
+            self.looked_up += len(new)
+            if self.looked_up > 4096 + self.copied_steps.entries // 8:
+                held = {**self.steps.old, **self.steps.young}
+                self.copied_steps = _Table(np.fromiter(held, np.int64, len(held)), np.fromiter(held.values(), np.int64, len(held)))
+                self.looked_up = 0
+        return found == 1
+
+    def _allowed_pair(self, pair: int) -> bool:
+        found = self.steps.get(pair)
+        if found is None:
+            left, right = divmod(pair, self.table.numbers)
+            found = self._allowed(self.table.text(left), self.table.text(right))
+            self.steps.put(pair, found)
+        return found
+
     def _search(self, text: str) -> Iterator[int]:
         """Ids of ``text``, committed as soon as all paths that can still win agree on them."""
         longest, n, done, check = self.longest, len(text), 0, 4 * self.longest
@@ -116,23 +237,17 @@ class Codec:
         best[end] = top
 
     def _extend_by_step(self, text: str, end: int, done: int, last: dict, _: dict) -> None:
-        ids, steps, previous_at = self.ids, self.steps, last.get
         for start in range(max(done, end - self.longest), end):
             piece = text[start:end]
-            if (piece in ids or end - start == 1) and (previous := previous_at(start)) is not None:
-                allowed = steps.get((previous, piece))
-                if allowed is None:
-                    allowed = self._allowed(previous, piece)
-                if allowed:
-                    last[end] = piece
-                    return
+            if (piece in self.ids or end - start == 1) and (previous := last.get(start)) is not None and self._allowed_text(previous, piece):
+                last[end] = piece
+                return
+
+    def _allowed_text(self, left: str, right: str) -> bool:
+        return self._allowed_pair(self.table.number(left) * self.table.numbers + self.table.number(right))
 
     def _allowed(self, left: str, right: str) -> bool:
-        if len(self.steps) >= REMEMBERED:
-            self.steps.clear()
-        found = self._merged(left + right) == ([left, right] if left else [right])
-        self.steps[left, right] = found
-        return found
+        return self._merged(left + right) == ([left, right] if left else [right])
 
     def _merged(self, text: str) -> list[str]:
         """What merging leaves of two pieces: the pair of the best score first, of equal ones the leftmost."""
@@ -169,6 +284,95 @@ class Codec:
         return [self.unknown]
 
 
+def _packed(ids: Iterable[int]) -> bytes:
+    return np.fromiter(ids, np.int32).tobytes()
+
+
+class _Table:
+    """Numbers by number, for arrays of them: a hash table that is at most a quarter full."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.entries, self._shift, self._last = len(keys), np.uint64(64 - bits), (1 << bits) - 1
+        self._keys, self._values = np.full(1 << bits, -1), np.full(1 << bits, -1)
+        slots = self._slots(keys)
+        while len(keys):
+            free = np.flatnonzero(self._keys[slots] == -1)
+            self._keys[slots[free]] = keys[free]  # of several, one stays
+            placed = self._keys[slots] == keys
+            self._values[slots[placed]] = values[placed]
+            keys, values, slots = keys[~placed], values[~placed], (slots[~placed] + 1) & self._last
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self._shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The values, -1 where there is none."""
+        slots = self._slots(keys)
+        held = self._keys[slots]
+        out = np.where(held == keys, self._values[slots], -1)
+        left = np.flatnonzero((held != keys) & (held != -1))
+        slots = slots[left]
+        while len(left):
+            slots = (slots + 1) & self._last
+            held = self._keys[slots]
+            hit = held == keys[left]
+            out[left[hit]] = self._values[slots[hit]]
+            on = ~hit & (held != -1)
+            left, slots = left[on], slots[on]
+        return out
+
+
+class _Backwards:
+    """The pieces as a tree from their last letter to the first, in sorted arrays, and numbers for all that a step can join:
+    pieces, letters that are no piece, and the beginning. Letters of no piece never merge, so they count as one."""
+
+    def __init__(self, ids: dict[str, int]):
+        self.pieces = pieces = list(ids)
+        self.ids = np.fromiter(ids.values(), np.int32, len(ids))
+        self.of = {piece: i for i, piece in enumerate(pieces)}
+        self.letters = sorted({letter for piece in pieces for letter in piece})
+        self._symbol = np.zeros(0x110000, np.int32)
+        self._symbol[[ord(letter) for letter in self.letters]] = np.arange(1, len(self.letters) + 1)
+        self.single = len(pieces)
+        self.beginning = self.single + len(self.letters) + 1
+        self.numbers = self.beginning + 1
+        self.unknown = next(chr(c) for c in range(0xE000, 0x110000) if not self._symbol[c])
+        nodes: dict[tuple[int, int], int] = {}
+        complete = {}
+        for i, piece in enumerate(pieces):
+            node = 0
+            for letter in reversed(piece):
+                node = nodes.setdefault((node, int(self._symbol[ord(letter)])), len(nodes) + 1)
+            complete[node] = i
+        self._width = len(self.letters) + 1
+        keys = np.array([node * self._width + symbol for node, symbol in nodes], np.int64)
+        self._next = _Table(keys, np.array(list(nodes.values()), np.int64))
+        self.piece = np.full(len(nodes) + 1, -1, np.int64)
+        self.piece[list(complete)] = list(complete.values())
+
+    def symbols(self, words: list[str]) -> np.ndarray:
+        return self._symbol[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+
+    def before(self, nodes: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which nodes have one more letter before them, and the nodes that it leads to."""
+        found = self._next.get(nodes * self._width + symbols)
+        known = found >= 0
+        return known, found[known]
+
+    def number(self, text: str) -> int:
+        if not text:
+            return self.beginning
+        found = self.of.get(text)
+        return self.single + int(self._symbol[ord(text)]) if found is None else found
+
+    def text(self, number: int) -> str:
+        if number < self.single:
+            return self.pieces[number]
+        symbol = number - self.single
+        return "" if number == self.beginning else self.letters[symbol - 1] if symbol else self.unknown
+
+
 _codecs: dict[str, Codec] = {}
 
 
@@ -190,9 +394,10 @@ def encoded(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
         codec = _codec(path)
         for batch in slices(batches, "text", 2 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids = [codec.encode(t) for t in texts]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            values = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
+            packed = codec.encode_all(texts)
+            sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+            values = np.frombuffer(b"".join(packed), np.int32)
+            ids = [np.frombuffer(of, np.int32).tolist() for of in packed]
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             back = [codec.decode(i) == t for i, t in zip(ids, texts)]
             yield pa.RecordBatch.from_arrays(
