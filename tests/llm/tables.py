@@ -50,6 +50,6 @@ def odd_documents(seed: int = 7) -> list[tuple]:
 
 def connect(folder: str = FOLDER) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
-    for name in ("documents", "pages", "benchmark"):
+    for name in ("documents", "pages", "benchmark", "embeddings"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
     return connection

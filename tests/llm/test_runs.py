@@ -191,7 +191,7 @@ def test_linked_vectors_in_sql(spark, tmp_path):
     vectors = vectors_of([(30, 0.1), (9, 0.02), *[(1, 1)] * 20]) + [(90, None, 1), (91, [1.0, None], 1), (92, [0.0] * 32, 1)]
     table_of(spark, tmp_path / "embeddings.parquet", vectors)
     connection = connect()
-    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    connection.execute(f"CREATE OR REPLACE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
     wanted = connection.execute(f"SELECT vec_id, n_links, component_id, kept FROM ({queries.EMBEDDING_DEDUP})").fetchall()
     assert rows(queries.queries()["op12_embedding_dedup"](spark, str(tmp_path))) == sorted(wanted, key=repr) == plain_links(vectors)
 

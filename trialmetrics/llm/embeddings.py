@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +28,14 @@ SKETCH = 64
 LOST = 1e-9  # chance that the sketches of a pair at the threshold are further apart than allowed
 
 
-@cache
+_made: dict[tuple[int, int], np.ndarray] = {}
+
+
 def _planes(dimensions: int, n: int) -> np.ndarray:
     """Normals of the hyperplanes, one per column: the same wherever they are made, and no other ones if there are more."""
-    return np.random.default_rng([SEED, dimensions]).standard_normal((n, dimensions)).T
+    if (dimensions, n) not in _made:
+        _made[dimensions, n] = np.random.default_rng([SEED, dimensions]).standard_normal((n, dimensions)).T
+    return _made[dimensions, n]
 
 
 def plan(vectors: int, least: float, recall: float) -> tuple[int, int]:
