@@ -125,6 +125,23 @@ def test_unigram_scores_by_viterbi():
             assert codec.encode(text) == library.encode(text)
 
 
+def test_wanted_languages_and_least_score(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    trees = language_id.fitted(docs, "text", "lang", F.lit(True))
+    judged = {r["doc_id"]: r for r in language_id.languages(docs, trees).collect()}
+
+    def kept(**limits):
+        out = language_id.in_a_language(docs, trees, **limits)
+        assert out.schema == docs.schema
+        return {r["doc_id"] for r in out.collect()}
+
+    known = {k for k, r in judged.items() if r["lang_pred"] != "und"}
+    one = {k for k in known if judged[k]["lang_pred"] == "en"}
+    assert kept() == known and kept(wanted=["en"]) == one and kept(wanted=[]) == set() and 0 < len(one) < len(known)
+    scores = sorted(r["score"] for r in judged.values())
+    assert kept(least=scores[-1]) == {k for k in known if judged[k]["score"] >= scores[-1]}
+
+
 def test_languages_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held_out = id_remainder(F.col("doc_id"), 3) == 1

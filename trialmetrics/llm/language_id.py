@@ -11,7 +11,7 @@ the text. The statistics are frozen after training, and the language with the sh
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -218,9 +218,14 @@ def _judged(texts: list[str | None], trees: Trees | None) -> tuple[list[str], np
 
 
 def fitted(df: DataFrame, text: str, language: str, where: Column, **bounds) -> Broadcast:
-    """Trees trained on the bounded sample, ready for the tasks; a table bounded by ``table_bytes``."""
+    """Trees trained on the bounded sample, ready for the tasks; a table bounded by ``table_bytes``. They travel as
+    plain arrays, so that executors need not have the package."""
     sample = training_sample(df, text, language, where, **bounds)
-    return df.sparkSession.sparkContext.broadcast(train(sample) if sample else None)
+    return df.sparkSession.sparkContext.broadcast(vars(train(sample)) if sample else None)
+
+
+def _trees(told: Broadcast) -> Trees | None:
+    return None if told.value is None else Trees(**told.value)
 
 
 def languages(df: DataFrame, trees: Broadcast, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -235,23 +240,25 @@ def languages(df: DataFrame, trees: Broadcast, key: str = "doc_id", text: str =
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
-            names, scores = _judged(batch.column("text").to_pylist(), trees.value)
+            names, scores = _judged(batch.column("text").to_pylist(), _trees(trees))
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(names), pa.array(scores)],
                                              [f.name for f in schema])
 
     return rows.mapInArrow(predict, schema).withColumnRenamed("key", key)
 
 
-def in_a_language(df: DataFrame, trees: Broadcast, text: str = "text") -> DataFrame:
-    """``df`` with all its columns, without the rows whose language is ``und``; edge cases as above, but if nothing was
-    trained on, every text with a letter stays."""
+def in_a_language(df: DataFrame, trees: Broadcast, text: str = "text", wanted: Collection[str] | None = None, least: float = 0.0) -> DataFrame:
+    """``df`` with all its columns, without the rows whose language is ``und``, is not among ``wanted`` (None: all
+    that were learned), or has a score under ``least``; edge cases as above, but if nothing was trained on, every text with
+    a letter stays."""
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, 1 << 20):
             texts = batch.column(text).to_pylist()
             if trees.value is None:
                 yield batch.filter(pa.array([bool(t and _LETTER.search(t)) for t in texts], pa.bool_()))
             else:
-                names, _ = _judged(texts, trees.value)
-                yield batch.filter(pa.array([name != UNKNOWN for name in names]))
+                names, scores = _judged(texts, _trees(trees))
+                yield batch.filter(pa.array([name != UNKNOWN and (wanted is None or name in wanted) and score >= least
+                                             for name, score in zip(names, scores.tolist())], pa.bool_()))
 
     return df.mapInArrow(keep, df.schema)
