@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import statistics
 import zlib
 from collections import Counter, defaultdict
 
@@ -113,29 +114,37 @@ def base_spans(text):
     return out
 
 
-def disclosures(docs, window=64, remove_at=0.95, generalise_at=0.8):
-    """(places of base spans, of terms, number removed) for each document."""
+def disclosures(docs, window=None, two_texts=False, remove_at=0.95, generalise_at=0.8, support=1):
+    """(places of base spans, of terms, number removed) for each document. With a window terms are words within it, and
+    count where they stand in it; else they are words of the whole text, and count wherever they stand."""
     word = re.compile(r"[^\W\d_]{2,}")
     n, with_entity, with_term, near, texts = len(docs), defaultdict(set), Counter(), defaultdict(set), defaultdict(set)
     places = []
     for i, (_, text) in enumerate(docs):
         text = text or ""
-        with_term.update({w.lower() for w in word.findall(text)})
+        words = [(m[0].lower(), m.start(), m.end()) for m in word.finditer(text)]
+        with_term.update({w for w, _, _ in words})
         here = []
+        entities = {}
         for kind, a, b in base_spans(text):
-            entity = (kind, text[a:b].lower())
+            entities.setdefault((kind, text[a:b].lower()), []).append((a, b))
+        for entity, spans in entities.items():
             with_entity[entity].add(i)
-            for start, stop in ((max(a - window, 0), a), (b, min(b + window, len(text)))):
-                for m in word.finditer(text[start:stop]):
-                    if (m.start() > 0 or start == 0) and (start + m.end() < stop or stop == len(text)):
-                        near[entity, m[0].lower()].add(i)
-                        texts[entity, m[0].lower()].add(text)
-                        here.append((entity, m[0].lower(), start + m.start(), start + m.end()))
+            if window is None:
+                here += [(entity, *w) for w in words]
+            for a, b in spans if window is not None else ():
+                for start, stop in ((max(a - window, 0), a), (b, min(b + window, len(text)))):
+                    for m in word.finditer(text[start:stop]):
+                        if (m.start() > 0 or start == 0) and (start + m.end() < stop or stop == len(text)):
+                            here.append((entity, m[0].lower(), start + m.start(), start + m.end()))
+        for entity, term, _, _ in here:
+            near[entity, term].add(i)
+            texts[entity, term].add(text)
         places.append(here)
     score = {}
     for (entity, term), found in near.items():
         c = len(with_entity[entity])
-        if len(texts[entity, term]) > 1 and c < n:
+        if len(texts[entity, term]) > two_texts and c < n and with_term[term] >= support:
             score[entity, term] = math.log(n * len(found) / (c * with_term[term])) / math.log(n / c)
     out = []
     for (key, text), here in zip(docs, places):
@@ -149,14 +158,25 @@ def disclosures(docs, window=64, remove_at=0.95, generalise_at=0.8):
 
 
 def good_turing(counts):
+    """Katz's discounts of counts 1 to 5 on the line through the logarithms of the counts of counts 1 to 6."""
     n = Counter(counts)
-    if all(n[r] for r in range(1, 7)):
-        share = 6 * n[6] / n[1]
-        d = [((r + 1) * n[r + 1] / (r * n[r]) - share) / (1 - share) if share < 1 else 0 for r in range(1, 6)]
-        if all(0 < x < 1 for x in d):
-            return d
-    constant = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
-    return [(r - constant) / r for r in range(1, 6)]
+    rs = [r for r in range(1, 7) if n[r]]
+    if len(rs) < 2:
+        return [(r - 0.5) / r for r in range(1, 6)]
+    points = []
+    for i, r in enumerate(rs):
+        before = rs[i - 1] if i else 0
+        after = rs[i + 1] if i + 1 < len(rs) else 2 * r - before
+        points.append((math.log(r), math.log(n[r] / (0.5 * (after - before)))))
+    slope = statistics.linear_regression(*zip(*points)).slope
+    if slope > -1 - 1e-6:
+        return [1 - math.log((r + 1) / r, 6) for r in range(1, 6)]
+
+    def smooth(r):
+        return r ** slope
+
+    share = 6 * smooth(6) / smooth(1)
+    return [((r + 1) * smooth(r + 1) / (r * smooth(r)) - share) / (1 - share) for r in range(1, 6)]
 
 
 class Katz:

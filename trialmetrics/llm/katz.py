@@ -4,7 +4,7 @@
              = alpha(a) P(b)      otherwise
     P(b)     = d(r) r / N         if the word was seen, else the mass that discounting left
 
-d are Good-Turing discounts of counts 1 to 5, and alpha(a) = (1 - sum of the seen P(b|a)) / (1 - sum of their P(b)),
+d are Good-Turing discounts of counts 1 to 5 from smoothed counts of counts, and alpha(a) = (1 - sum of the seen P(b|a)) / (1 - sum of their P(b)),
 so the probabilities after each context add up to one. All words never seen are one class.
 
 Word counts are a stored table; the most frequent words, at most ``head`` of them, are known to all tasks and the rest
@@ -43,16 +43,26 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def discounts(counts: list[int]) -> list[float]:
-    """Good-Turing discounts of 1 to LOW from how many types were seen 1 to LOW + 1 times. Where these
-    are too uneven for that, an absolute discount of one constant per type takes their place."""
-    n = [0, *counts]
-    if all(n[1:]):
-        share = (LOW + 1) * n[LOW + 1] / n[1]
-        d = [((r + 1) * n[r + 1] / (r * n[r]) - share) / (1 - share) if share < 1 else 0 for r in range(1, LOW + 1)]
-        if all(0 < x < 1 for x in d):
-            return d
-    constant = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
-    return [(r - constant) / r for r in range(1, LOW + 1)]
+    """Good-Turing discounts of 1 to LOW from how many types were seen 1 to LOW + 1 times.
+
+    Copies make these counts uneven, so they are smoothed first, by the line through their logarithms (Simple Good-Turing):
+    n(r) = A * r ** slope. Katz's discount of r is then (((r + 1) / r) ** (slope + 1) - s) / (1 - s) with s = (LOW + 1) **
+    (slope + 1), which lies between 0 and 1 for every slope under -1; a flatter line counts as one of -1, whose discounts are the
+    limit of that. Only where fewer than two counts are known there is no line, and every type gives up half a count.
+    """
+    known = [(r, n) for r, n in enumerate(counts, 1) if n]
+    if len(known) < 2:
+        return [(r - 0.5) / r for r in range(1, LOW + 1)]
+    # Types of a count stand for the counts around it that no type has.
+    ends = [0, *[r for r, _ in known]]
+    last = 2 * ends[-1] - ends[-2]
+    x = np.log([r for r, _ in known])
+    y = np.log([2 * n / (after - before) for (_, n), before, after in zip(known, ends, [*ends[2:], last])])
+    slope = float(((x - x.mean()) * (y - y.mean())).sum() / ((x - x.mean()) ** 2).sum())
+    if slope > -1 - 1e-6:
+        return [1 - math.log((r + 1) / r) / math.log(LOW + 1) for r in range(1, LOW + 1)]
+    s = (LOW + 1) ** (slope + 1)
+    return [(((r + 1) / r) ** (slope + 1) - s) / (1 - s) for r in range(1, LOW + 1)]
 
 
 @dataclass
@@ -245,7 +255,7 @@ def pair_blocks(rows: DataFrame, known: Broadcast, buckets: Broadcast, at_once:
         held, size = [], 0
         for batch in slices(batches, "text"):
             flat, n = _split(bytes_of(batch, "text"))
-            codes, of = _codes(flat, known.value.hashes)
+            codes, of = _codes(flat, Words(**known.value).hashes)
             ends = np.cumsum(n + 1) - 1
             words = np.zeros(len(flat) + len(n), np.int64)
             inside = np.ones(len(words), bool)
@@ -258,10 +268,10 @@ def pair_blocks(rows: DataFrame, known: Broadcast, buckets: Broadcast, at_once:
             held.append((contexts, words, row, out))
             size += len(words)
             if size >= at_once:
-                yield from _packed(buckets.value, *map(np.concatenate, zip(*held)))
+                yield from _packed(Buckets(**buckets.value), *map(np.concatenate, zip(*held)))
                 held, size = [], 0
         if held:
-            yield from _packed(buckets.value, *map(np.concatenate, zip(*held)))
+            yield from _packed(Buckets(**buckets.value), *map(np.concatenate, zip(*held)))
 
     return rows.select("row", "held", "text").mapInArrow(pack, PACKED)
 
@@ -351,7 +361,7 @@ def counted(blocks: DataFrame, known: Broadcast, buckets: Broadcast, number: int
         held = [(first, n, block) for batch in batches for first, n, block in zip(*(
             batch.column(c).to_pylist() for c in ("first_row", "entries", "block")))]
         if held:
-            yield from _counted(held, TaskContext.get().partitionId(), known.value, buckets.value)
+            yield from _counted(held, TaskContext.get().partitionId(), Words(**known.value), Buckets(**buckets.value))
 
     return blocks.repartitionById(number, "bucket").mapInArrow(count, FOUND)
 
@@ -362,7 +372,7 @@ def _texts(rows: DataFrame, known: Broadcast) -> DataFrame:
         .add("base", "double").add("h", "long").add("n", "long")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = known.value
+        words = Words(**known.value)
         log = np.log10((words.counts + 1) / (words.tokens + words.types + 1))
         for batch in slices(batches, "text"):
             flat, n = _split(bytes_of(batch, "text"))
@@ -423,8 +433,9 @@ def scored(
     known = _known(rows, words, head)
     number = max(-(-known.tokens * 6 // 5 // bucket_tokens), int(spark.conf.get("spark.sql.shuffle.partitions")))
     limit = max(1, known.tokens // (4 * number))
-    told = spark.sparkContext.broadcast(known)
-    buckets = spark.sparkContext.broadcast(Buckets(number, limit, known.counts))
+    # As plain arrays, so that executors need not have the package.
+    told = spark.sparkContext.broadcast(vars(known))
+    buckets = spark.sparkContext.broadcast(vars(Buckets(number, limit, known.counts)))
     found = stored(counted(pair_blocks(rows, told, buckets), told, buckets, number), "pair-counts")
 
     low = [f"n{r}" for r in range(1, LOW + 1)]
@@ -446,8 +457,8 @@ def scored(
     of_rare = F.when(F.col("b") >= 0, F.col("times") * F.log10(_probability(F.col("n"), known))).otherwise(F.lit(0.0))
     columns = ["row", "a", "x", F.col("n").alias("times"), F.col("n1").alias("seen"), "b",
                F.when(F.col("b") >= 0, F.col("b").bitwiseAND(F.lit(RARE - 1))).alias("h")]
-    # A context is spread if it comes more than ``limit`` times, so there are at most 4 * number of them.
-    spread = F.broadcast(contexts.filter(F.col("total") > limit))
+    # A context is spread if it comes more than ``limit`` times, so there are few; Spark sees how many.
+    spread = contexts.filter(F.col("total") > limit)
     opened = found.filter(f"kind = {OPEN}").select(*columns).join(contexts, "a", "left").unionByName(
         found.filter(f"kind = {OPEN_SPREAD}").select(*columns).join(spread, "a", "left"))
     opened = opened.join(words, "h", "left").select("row", (
