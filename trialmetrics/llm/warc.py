@@ -1,6 +1,7 @@
 """WARC archives: a deterministic sharded writer and a reader.
 
-Splitters are drawn by a hash of the record ids, so the same records give the same shards, files and bytes whatever
+Shards are ranges of (id, payload digest), so an id that many records share is spread like any others. Splitters are drawn by a
+hash of the two, so the same records give the same shards, files and bytes whatever
 their order, partitioning and number of tasks. A task sorts one shard and writes it file by file under
 temporary names that carry the attempt; files roll by compressed size. Only the attempts whose manifest rows
 come back through Spark count: their files get their final names, and the manifest, written last, commits.
@@ -20,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from trialmetrics.llm.common import fresh, numbered, stored
 
@@ -31,19 +32,25 @@ MAX_SHARDS, DRAWN = 10_000, 100
 _NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc-records")
 
 
-def _splitters(rows: DataFrame, shard_bytes: int) -> list[int]:
-    """First ids of all shards but the first. At most MAX_SHARDS * DRAWN ids, in expectation, reach the driver."""
+def _place() -> Column:
+    """Text that sorts as id, null first, and the beginning of the digest."""
+    shifted = F.lpad(F.hex(F.col("key").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.concat(F.coalesce(F.concat(F.lit("1"), shifted), F.lit("0")), F.substring("digest", 1, 16))
+
+
+def _splitters(rows: DataFrame, shard_bytes: int) -> list[str]:
+    """First places of all shards but the first. At most MAX_SHARDS * DRAWN places, in expectation, reach the driver."""
     found = rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
     shards = min(MAX_SHARDS, -(-found["bytes"] // shard_bytes) or 1)
     if shards < 2:
         return []
     every = max(1, found["rows"] // (shards * DRAWN))
-    drawn = rows.filter(F.col("key").isNotNull() & (F.pmod(F.xxhash64("key"), F.lit(every)) == 0))
-    # A drawn id stands for itself, however many rows share it.
-    ids = drawn.groupBy("key").agg(F.sum("bytes").alias("bytes")).toPandas().sort_values("key")
-    upto = ids["bytes"].cumsum().to_numpy()
-    cuts = np.searchsorted(upto, upto[-1] * np.arange(1, shards) / shards) if len(ids) else []
-    return np.unique(ids["key"].to_numpy()[cuts]).tolist() if len(ids) else []
+    drawn = rows.filter(F.pmod(F.xxhash64("place"), F.lit(every)) == 0)
+    # A drawn place stands for itself, however many rows share it.
+    found = drawn.groupBy("place").agg(F.sum("bytes").alias("bytes")).toPandas().sort_values("place")
+    upto = found["bytes"].cumsum().to_numpy()
+    cuts = np.searchsorted(upto, upto[-1] * np.arange(1, shards) / shards) if len(found) else []
+    return sorted({found["place"].iloc[i] for i in cuts})
 
 
 def write_warc(
@@ -55,7 +62,7 @@ def write_warc(
     Of the records with equal payloads of at least ``revisit_from`` bytes the one with the smallest id (null last, then
     the smallest url) is a response and the others revisit it; all smaller ones are responses. Of repeated rows one is the response.
     A null payload is empty, a null url is written as about:blank, a record without id has no id line.
-    All rows that share one id are in one shard, which rolls into as many files as they need and holds one payload at a time. An empty
+    Rows of equal id and payload are in one shard, which rolls into as many files as they need and holds one payload at a time. An empty
     table gives an empty manifest; other columns are not looked at. ``date`` is the date of all records, since
     a clock would make the bytes differ. ``folder`` has to be new and open to all executors.
     """
@@ -67,11 +74,11 @@ def write_warc(
     order = F.struct(F.col("key").isNull().alias("no_key"), "key", "url", "row")
     light = records.filter(F.col("bytes") >= revisit_from).drop("payload")
     copies = light.groupBy("digest").agg(F.min(order).alias("of"), F.count("*").alias("n")).filter("n > 1")
-    cuts = np.array(_splitters(records.select("key", "bytes"), shard_bytes), np.int64)
+    cuts = _splitters(records.select(_place().alias("place"), "bytes"), shard_bytes)
 
     @F.pandas_udf("int")
-    def shard_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, ids.to_numpy(), "right").astype(np.int32))
+    def shard_of(places: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(np.array(cuts, object), places.to_numpy(object), "right").astype(np.int32))
 
     # A copy is marked by a row of its own, which the sort puts right before the record: the join is of ids and
     # digests, and a payload is shuffled once.
@@ -79,7 +86,7 @@ def write_warc(
         "key", "url", "digest", "row", F.col("of.key").alias("refers_to"), F.col("of.url").alias("refers_url"),
         F.lit(True).alias("mark"))
     both = records.withColumn("mark", F.lit(False)).unionByName(marks, allowMissingColumns=True)
-    dealt = both.withColumn("shard", shard_of(F.coalesce("key", F.lit(-(1 << 63))))).repartitionById(
+    dealt = both.withColumn("shard", shard_of(_place())).repartitionById(
         len(cuts) + 1, "shard").sortWithinPartitions("shard", F.asc_nulls_last("key"), "digest", "url", "row", F.desc("mark"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
