@@ -102,6 +102,20 @@ def test_archives_are_plain_warc(spark, tmp_path):
     assert kinds["warcinfo"] == 1 and kinds["response"] + kinds["revisit"] == len(pages())
 
 
+@pytest.mark.parametrize("key", [7, None])
+def test_an_id_with_a_third_of_all_pages_is_spread(spark, tmp_path, key):
+    draw = random.Random(9)
+    made = [(key if i % 3 == 0 else 1_000 + i, f"u{i}", "".join(draw.choice("abcdef") for _ in range(600))) for i in range(600)]
+    manifest = warc.write_warc(written(spark, tmp_path / "p", made, T.StructType().add("page_id", "long").add("url", "string").add("html", "string")),
+                               str(tmp_path / "out"), shard_bytes=20_000).collect()
+    sizes = Counter()
+    for file in manifest:
+        sizes[file["shard"]] += file["records"]
+    assert len(sizes) > 12 and max(sizes.values()) < 120 and sum(sizes.values()) >= 600
+    found = warc.read_warc(spark, str(tmp_path / "out")).collect()
+    assert sorted((r["url"], r["payload_bytes"]) for r in found) == sorted((u, 600) for _, u, _ in made)
+
+
 def test_damaged_archives_are_refused(spark, tmp_path):
     folder = tmp_path / "out"
     warc.write_warc(written(spark, tmp_path / "p", pages(), PAGES), str(folder))
@@ -118,23 +132,62 @@ def spelled(base, terms):
     return plain.sha(",".join(spans)), ",".join(spans + [f"term:{a}:{b}" for a, b in terms])
 
 
-def test_personal_data(spark, tmp_path):
+LIMITS = [pii.Thresholds(), pii.Thresholds(two_texts=True), pii.Thresholds(least_support=3), pii.Thresholds(window=64, two_texts=True), pii.Thresholds(window=64)]
+
+
+def plain_disclosures(docs, limits):
+    return plain.disclosures(docs, limits.window, limits.two_texts, support=limits.least_support)
+
+
+@pytest.mark.parametrize("limits", LIMITS)
+def test_personal_data(spark, tmp_path, limits):
     docs = odd_documents()
-    found = pii.personal_data(documents(spark, tmp_path / "d", docs))
+    found = pii.personal_data(documents(spark, tmp_path / "d", docs), limits=limits)
     want = []
-    for (key, _), (base, terms, removed) in zip(docs, plain.disclosures(docs)):
+    for (key, _), (base, terms, removed) in zip(docs, plain_disclosures(docs, limits)):
         kinds = Counter(k for k, *_ in base)
         want.append((key, *[kinds[k] for k in pii.KINDS], *spelled(base, terms), len(terms), removed))
     assert rows(found, "*") == sorted(want, key=repr)
     assert any(w[-2] for w in want)
-    assert pii.personal_data(written(spark, tmp_path / "e", [], DOCUMENTS)).count() == 0
+    assert pii.personal_data(written(spark, tmp_path / "e", [], DOCUMENTS), limits=limits).count() == 0
 
 
-def test_personal_data_of_given_documents(spark):
-    docs = [(r[0], r[1]) for r in given("documents", "/root/testdata/sf0.01")]
-    found = pii.personal_data(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
-    want = [(k, *spelled(base, terms), removed) for (k, _), (base, terms, removed) in zip(docs, plain.disclosures(docs))]
+@pytest.mark.parametrize("limits, folder", [(LIMITS[0], "/root/testdata/sf0.001"), (LIMITS[1], "/root/testdata/sf0.001"),
+                                            (LIMITS[3], "/root/testdata/sf0.01")])
+def test_personal_data_of_given_documents(spark, limits, folder):
+    docs = [(r[0], r[1]) for r in given("documents", folder)]
+    found = pii.personal_data(spark.read.parquet(f"{folder}/documents.parquet"), limits=limits)
+    want = [(k, *spelled(base, terms), removed) for (k, _), (base, terms, removed) in zip(docs, plain_disclosures(docs, limits))]
     assert rows(found, "doc_id", "base_sha256", "spans", "n_removed") == sorted(want, key=repr)
+    assert limits.two_texts or any("term:" in w[2] for w in want)
+
+
+def test_an_entity_is_the_same_wherever_it_stands(spark, tmp_path):
+    """Second in one text and first in another: two documents hold it, and only what both hold gives it away."""
+    docs = [(1, "a@mail.example then b@mail.example quonsar once"), (2, "b@mail.example quonsar"), *((10 + i, "then once") for i in range(6))]
+    for limits in LIMITS[:2]:
+        found = {r["doc_id"]: r for r in pii.personal_data(documents(spark, tmp_path / str(limits.two_texts), docs), limits=limits).collect()}
+        at = docs[0][1].index("quonsar")
+        assert f"term:{at}:{at + 7}" in found[1]["spans"] and found[2]["spans"].endswith("term:15:22")
+
+
+def test_a_page_of_addresses_costs_as_much_as_its_words(spark, tmp_path, monkeypatch):
+    """Entities of the same documents are one class; a few that another text shares are another."""
+    sizes, kept = {}, pii.stored
+
+    def counted(df, name):
+        out = kept(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(pii, "stored", counted)
+    for n in (50, 100, 200):
+        word = "".join(chr(97 + i % 26) for i in range(6))
+        page = " ".join(f"{word}{chr(97 + i // 26)}{chr(97 + i % 26)} a{i}@mail.example" for i in range(n))
+        docs = [(1, page), (2, "see a1@mail.example a2@mail.example here"), (3, "other words")]
+        found = {r["doc_id"]: r for r in pii.personal_data(documents(spark, tmp_path / f"d{n}", docs)).collect()}
+        assert found[1]["n_email"] == n and found[1]["n_term"] == n
+        assert sizes["pii-classes"] == 3 and sizes["pii-pairs"] <= 2 * n + 10
 
 
 def test_terms_of_an_entity_of_one_text(spark, tmp_path):
@@ -164,36 +217,6 @@ def test_terms_far_from_their_entity(spark, tmp_path):
     assert "uonsar" not in texts[1] and "[EMAIL]" in texts[1] and texts[4] == "Zeb knows" and texts[5] is None
 
 
-@pytest.mark.parametrize("two_texts", [False, True])
-def test_terms_of_whole_given_documents(spark, two_texts):
-    docs = [(r[0], r[1]) for r in given("documents")]
-    limits = pii.Thresholds(window=None, two_texts=two_texts)
-    found = pii.personal_data(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), limits=limits)
-    want = sorted((k, *told) for (k, _), told in zip(docs, plain_terms(docs, two_texts)))
-    assert rows(found, "doc_id", "n_term", "n_removed") == sorted(want, key=repr) and (two_texts or any(w[1] for w in want))
-
-
-def plain_terms(docs, two_texts):
-    """(places of terms, number removed) for each document, by the definition, over whole texts."""
-    word, n = re.compile(r"[^\W\d_]{2,}"), len(docs)
-    words = [{w.lower() for w in word.findall(t or "")} for _, t in docs]
-    with_term = Counter(w for of in words for w in of)
-    rows_of, together, texts = Counter(), Counter(), {}
-    bases = [plain.base_spans(t or "") for _, t in docs]
-    entities = [{(k, docs[i][1][a:b].lower()) for k, a, b in base} for i, base in enumerate(bases)]
-    for i, of in enumerate(entities):
-        rows_of.update(of)
-        for pair in ((c, t) for c in of for t in words[i]):
-            together[pair] += 1
-            texts.setdefault(pair, set()).add(docs[i][1])
-    score = {(c, t): np.log(n * r / (rows_of[c] * with_term[t])) / np.log(n / rows_of[c])
-             for (c, t), r in together.items() if rows_of[c] < n and len(texts[c, t]) > two_texts}
-    for (_, text), base, of in zip(docs, bases, entities):
-        best = [max((score.get((c, m[0].lower()), 0) for c in of), default=0) for m in word.finditer(text or "")
-                if not any(a < m.end() and m.start() < b for _, a, b in base)]
-        yield sum(x >= 0.8 for x in best), sum(x >= 0.95 for x in best)
-
-
 def test_running_totals_in_blocks(spark):
     draw = random.Random(3)
     arrays = [[draw.randrange(9) for _ in range(n)] for n in (0, 1, 127, 128, 129, 1_000)]
@@ -243,6 +266,18 @@ def test_scores_of_regular_texts(spark, tmp_path, texts):
         assert sum(model.pair(context, b) for b in [*model.words, "never seen"]) == pytest.approx(1)
 
 
+@pytest.mark.parametrize("counts", [[100, 40, 20, 12, 9, 7], [1266, 300, 150, 160, 80, 70], [5, 0, 0, 0, 0, 9], [3, 3, 3, 3, 3, 3], [0, 0, 4, 0, 0, 0],
+                                    [0] * 6, [1, 50, 0, 0, 0, 0], [10 ** 9, 10 ** 7, 10 ** 6, 10 ** 5, 10 ** 5, 10 ** 5]])
+def test_discounts_lie_between_zero_and_one(counts):
+    """However uneven the counts of counts are; on a line they are Katz's own."""
+    found = katz.discounts(counts)
+    assert len(found) == katz.LOW and all(0 < d < 1 for d in found) and found == sorted(found)
+    assert found == pytest.approx(plain.good_turing([r for r, n in enumerate(counts, 1) for _ in range(min(n, 2_000))]), rel=1e-9) or max(counts) > 2_000
+    line = [10_000 * r ** -2.0 for r in range(1, 7)]
+    share = 6 * line[5] / line[0]
+    assert katz.discounts(line) == pytest.approx([((r + 1) * line[r] / (r * line[r - 1]) - share) / (1 - share) for r in range(1, 6)])
+
+
 def test_scores_of_nothing_and_without_training(spark, tmp_path):
     assert katz.scored(written(spark, tmp_path / "e", [], DOCUMENTS)).count() == 0
     found = katz.scored(documents(spark, tmp_path / "d", [(1, "a b"), (2, None)]), held_out=F.lit(True)).collect()

@@ -8,8 +8,12 @@ that is None, anywhere in its text, gives it away as far as knowing the term tel
     disclosure of c by t          PMI / IC: 1 if t is never seen without c, 0 if t says nothing
 
 n(c) and n(t) are documents with the entity and with the term, n(c, t) documents with the term near the entity. Terms above
-``remove_at`` are removed, terms above ``generalise_at`` replaced by their kind. With ``two_texts`` a term has to be near
-the entity in two different texts at least; without it the terms of entities of one text are judged too.
+``remove_at`` are removed, terms above ``generalise_at`` replaced by their kind. A word that is only ever seen beside an entity
+that is seen once tells all of it; ``least_support`` asks for a term to be in so many documents at least, and leaves the
+scores as they are. With ``two_texts`` a term has to be near the entity in two different texts at least.
+
+Entities of the same documents have the same n(c) and n(c, t), so they are judged together, as one class: a page of
+thousands of addresses costs as much as its words, not their product.
 """
 
 from __future__ import annotations
@@ -40,8 +44,9 @@ _SPAN = "struct<start:bigint,stop:bigint,value:string>"
 class Thresholds:
     remove_at: float = 0.95
     generalise_at: float = 0.8
-    window: int | None = 64
-    two_texts: bool = True
+    window: int | None = None
+    two_texts: bool = False
+    least_support: int = 1
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -135,8 +140,10 @@ def detected(df: DataFrame, key: str, text: str, limits: Thresholds) -> DataFram
         *[base_spans(value, kind).alias(kind) for kind in KINDS])
     hit = F.greatest(*[F.size(kind) for kind in KINDS]) > 0
     if limits.window is None:
-        entities = F.array_distinct(F.concat(*[F.transform(kind, lambda s, kind=kind: F.struct(
-            F.lit(kind).alias("kind"), F.lower(s["value"]).alias("entity"))) for kind in KINDS]))
+        def named(kind: str) -> Column:  # a lambda of two parameters would be given the place in the array
+            return F.transform(kind, lambda s: F.struct(F.lit(kind).alias("kind"), F.lower(s["value"]).alias("entity")))
+
+        entities = F.array_distinct(F.concat(*map(named, KINDS)))
         return found.withColumn("near", F.when(hit, entities)).withColumn("text", F.when(hit, F.col("text")))
     near = F.concat(*[_near(F.col("text"), F.col(kind), kind, limits.window) for kind in KINDS])
     return found.withColumn("near", F.when(hit, near)).drop("text")
@@ -154,7 +161,7 @@ def disclosing(spans: DataFrame, corpus: DataFrame, text: str, limits: Threshold
     n = F.lit(float(corpus.count()))
     disclosure = F.log2(n * F.col("n_ct") / (F.col("n_c").cast("double") * F.col("n_t"))) / F.log2(n / F.col("n_c"))
     return pairs.join(with_entity, ["kind", "entity"]).join(with_term, "term") \
-        .filter(F.col("n_c") < n).withColumn("disclosure", disclosure) \
+        .filter((F.col("n_c") < n) & (F.col("n_t") >= limits.least_support)).withColumn("disclosure", disclosure) \
         .filter(F.col("disclosure") >= limits.generalise_at).select(
             "kind", "entity", "term", "disclosure",
             F.when(F.col("disclosure") >= limits.remove_at, "remove").otherwise("generalise").alias("action"))
@@ -172,10 +179,14 @@ def _told(spans: DataFrame, corpus: DataFrame, text: str, limits: Thresholds, co
     """
     n = float(spans.count())
     entities = spans.filter("near is not null").select("row", "hash", F.explode("near").alias("n")).select("row", "hash", "n.*")
-    with_entity = stored(entities.groupBy("kind", "entity").agg(F.count("*").alias("n_c")).filter(F.col("n_c") < n), "pii-entities")
+    # A class is a set of rows, known by two sums over its hashes and its size.
+    same_rows = [F.bit_xor(F.xxhash64("row", F.lit(salt))).alias(f"of_{salt}") for salt in (1, 2)]
+    with_entity = entities.groupBy("kind", "entity").agg(F.count("*").alias("n_c"), *same_rows).filter(F.col("n_c") < n)
+    of_class = ["n_c", "of_1", "of_2"]
+    classes = stored(entities.join(with_entity, ["kind", "entity"]).select("row", "hash", *of_class).distinct(), "pii-classes")
     with_term = stored(corpus.select(F.explode(_words(F.col(text).cast("string"))).alias("term")).groupBy("term").agg(
         F.count("*").alias("n_t")), "pii-words")
-    most = with_entity.agg(F.max("n_c")).first()[0] or 0
+    most = classes.agg(F.max("n_c")).first()[0] or 0
 
     def reach(n_c: Column) -> Column:
         return F.lit(n) ** (1 - limits.generalise_at) * n_c ** limits.generalise_at * (1 + 1e-9)
@@ -183,12 +194,11 @@ def _told(spans: DataFrame, corpus: DataFrame, text: str, limits: Thresholds, co
     often = with_term.filter(F.col("n_t") > reach(F.lit(float(most)))).orderBy(F.desc("n_t"), "term").limit(common)
     terms = spans.filter("near is not null").select("row", F.explode(_words(F.col("text"))).alias("term")) \
         .join(F.broadcast(often.select("term")), "term", "left_anti") \
-        .join(with_term.filter(F.col("n_t") <= reach(F.lit(float(most)))), "term")
-    pairs = stored(terms.join(entities.join(with_entity, ["kind", "entity"]), "row").filter(
-        F.col("n_t") <= reach(F.col("n_c").cast("double"))), "pii-pairs")
-    of_pair = ["kind", "entity", "term"]
+        .join(with_term.filter((F.col("n_t") <= reach(F.lit(float(most)))) & (F.col("n_t") >= limits.least_support)), "term")
+    pairs = stored(terms.join(classes, "row").filter(F.col("n_t") <= reach(F.col("n_c").cast("double"))), "pii-pairs")
+    of_pair = [*of_class, "term"]
     disclosure = F.log2(n * F.col("n_ct") / (F.col("n_c").cast("double") * F.col("n_t"))) / F.log2(n / F.col("n_c"))
-    told = pairs.groupBy(*of_pair, "n_c", "n_t").agg(
+    told = pairs.groupBy(*of_pair, "n_t").agg(
         F.count("*").alias("n_ct"), F.min("hash").alias("a"), F.max("hash").alias("b")) \
         .filter(F.lit(not limits.two_texts) | (F.col("a") < F.col("b"))).withColumn("disclosure", disclosure) \
         .filter(F.col("disclosure") >= limits.generalise_at).select(
