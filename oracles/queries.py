@@ -19,6 +19,7 @@ from trialmetrics.publish import export_csv, preview, publish, publish_days, pub
 from trialmetrics.session import shared_folder
 from trialmetrics.sources.documents import read_experiment_documents
 from trialmetrics.sources.fixtures import PHASE, fixture_tables
+from trialmetrics.sources.quarantine import Quarantine
 from trialmetrics.sources.tables import numeric_sample, read_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,6 +220,19 @@ def _csv(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(read_csv(spark, path, ORDER_VALUE))
 
 
+def _bad_records(spark: SparkSession, folder: str) -> DataFrame:
+    """S4. Orders from lines of text of which every nineteenth has no amount: read and set apart, by day."""
+    path, cell = own_folder(spark, "lines"), F.when(F.col("event_id") % 19 == 0, "n/a").otherwise(F.col("revenue").cast("string"))
+    lines = fixture_tables(spark, folder)["currency"].withColumn("revenue", cell)
+    lines.select("event_id", "user_id", "event_date", "revenue", "is_first_flux").write.csv(f"{path}/currency", header=True)
+    quarantine = Quarantine(f"{path}/bad", at_most=1_000_000_000)
+    read = Tables.in_folder(spark, path, "csv", quarantine=quarantine)["currency"].select("event_date", "revenue", F.lit(0).alias("bad"))
+    day = F.to_date(F.get_json_object("record", "$.event_date")).alias("event_date")
+    apart = quarantine.bad(spark, "currency").select(day, F.lit(None).cast("double").alias("revenue"), F.lit(1).alias("bad"))
+    return read.union(apart).groupBy("event_date").agg(
+        F.count(F.when(F.col("bad") == 0, 1)).alias("orders"), F.round(F.sum("revenue"), 6).alias("revenue"), F.sum("bad").alias("set_apart"))
+
+
 def _typed(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(typed(business.order_value(fixture_tables(spark, folder), PHASE), ORDER_VALUE))
 
@@ -417,6 +431,7 @@ def queries() -> dict[str, Query]:
         **{f"m11_together_{name}": _together(name) for name in TOGETHER},
         "m11_run_together": _run_together,
         "s6_s11_days_replaced": _days_replaced,
+        "s4_bad_records_set_apart": _bad_records,
         "a2_first_ever_kept": _kept(assignment.resolve, policy="user_first"),
         "a3_latest_day_kept": _kept(assignment.resolve, policy="user_latest_day"),
         "a7_first_day_kept": _kept(assignment.resolve, policy="user_first_day"),

@@ -872,4 +872,7 @@ def oracle_sql() -> dict[str, str]:
     found.update({name: together(found[of]) for name, of in TOGETHER.items()})
     found.update({f"{name}_kept": found[name] for name in KEPT})
     found["s6_s11_days_replaced"] = found["b1_order_value"]
+    found["s4_bad_records_set_apart"] = with_views("""SELECT event_date, COUNT(*) FILTER (event_id % 19 <> 0) AS orders,
+        ROUND(SUM(revenue) FILTER (event_id % 19 <> 0), 6) AS revenue, COUNT(*) FILTER (event_id % 19 = 0) AS set_apart
+        FROM v_currency GROUP BY 1""")
     return {name: half_up(text) for name, text in {**found, **_publication(found)}.items()}

@@ -11,6 +11,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from trialmetrics.session import remove_folder, shared_folder, staged
+from trialmetrics.sources.quarantine import Quarantine, not_fitting, parted
 from trialmetrics.sources.schemas import SCHEMAS
 
 if TYPE_CHECKING:
@@ -79,18 +80,24 @@ class Tables:
 
     @classmethod
     def in_folder(cls, spark: SparkSession, root: str, file_format: str = "parquet",
-                  names: Mapping[str, str] | None = None, **options) -> Tables:
+                  names: Mapping[str, str] | None = None, quarantine: Quarantine | None = None, **options) -> Tables:
         """One day-partitioned folder per table under ``root``.
 
         Files that know their types are read with them and then conformed; others (CSV, JSON)
-        are read under the declared schema, and a cell that does not fit is an error.
+        are read under the declared schema, and a cell that does not fit is an error. With ``quarantine`` its
+        record is set apart instead, when the table is opened.
         """
         def opener(name: str) -> DataFrame:
             path = f"{root}/{(names or {}).get(name, name)}"
-            reader = spark.read.format(file_format)
+            reader, schema = spark.read.format(file_format), SCHEMAS[name]
             if file_format not in TYPED_FORMATS:
-                reader = reader.schema(SCHEMAS[name]).options(header=True, mode="FAILFAST")
-            return conformed(reader.load(path), SCHEMAS[name])
+                if quarantine is not None:
+                    return fitting(reader.options(header=True).schema(as_text(schema)).option(
+                        "columnNameOfCorruptRecord", CORRUPT).load(path), schema, name, quarantine)
+                reader = reader.schema(schema).options(header=True, mode="FAILFAST")
+            elif quarantine is not None:
+                return fitting(reader.load(path), schema, name, quarantine)
+            return conformed(reader.load(path), schema)
         return cls(spark, opener, **options)
 
     @classmethod
@@ -125,6 +132,30 @@ def conformed(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*map(column, schema))
 
 
+#: Holds the text of a line that cannot be taken apart.
+CORRUPT = "_corrupt_line"
+
+
+def as_text(schema: T.StructType) -> T.StructType:
+    """All columns as text, so that a cell that does not fit is seen, and the line if it has not as many."""
+    return T.StructType([*[T.StructField(f.name, T.StringType()) for f in schema], T.StructField(CORRUPT, T.StringType())])
+
+
+def fitting(rows: DataFrame, schema: T.StructType, source: str, quarantine: Quarantine) -> DataFrame:
+    """As :func:`conformed`, but records that do not fit are set apart. Ids keep the type they have."""
+    actual = {name.lower() for name in rows.columns}
+    if missing := [name for name in schema.names if name.lower() not in actual]:
+        raise ValueError(f"columns {missing} are missing; there are {rows.columns}")
+    casts = {f.name: (F.col(f.name), f.dataType) for f in schema if not f.name.endswith("_id") and rows.schema[f.name].dataType != f.dataType}
+    reason, record = not_fitting(casts), F.to_json(F.struct(*[c for c in rows.columns if c != CORRUPT]))
+    if CORRUPT in rows.columns:
+        broken = F.col(CORRUPT).isNotNull()
+        reason = F.when(broken, "not a line of the table").otherwise(reason)
+        record = F.when(broken, F.col(CORRUPT)).otherwise(record)
+    good = parted(rows, reason, record, source, quarantine)
+    return conformed(good.drop(CORRUPT), schema)
+
+
 def _strict(value: Column, want: T.DataType) -> Column:
     """A cast that raises on what does not fit, whether or not the session is in ANSI mode."""
     cast = value.try_cast(want)
