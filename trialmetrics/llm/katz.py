@@ -18,8 +18,10 @@ its buckets. Words are told apart by 62 bits of their hash.
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +35,10 @@ from trialmetrics.llm.common import LOWER, bytes_of, fresh, numbered, slices, st
 LOW = 5  # counts up to this are discounted
 END, START, FIRST = 0, 1, 2  # codes of the end, of the context of a first word, and of the first frequent word
 RARE = 1 << 62
+BROADCAST_ROWS = 500_000  # of four numbers each
 COUNT_ONLY = np.uint32(0xFFFFFFFF)
-DOC, CONTEXT, RARE_PAIR, OPEN, OPEN_SPREAD, TOTALS = range(6)
-PACKED = "bucket int, first_row long, entries int, block binary"
+DOC, CONTEXT, RARE_PAIR, OPEN, OPEN_SPREAD, TOTALS, TEXT, RARE_WORD = range(8)
+PACKED = "bucket int, first_row long, entries int, block binary, texts boolean"
 FOUND = T.StructType([T.StructField("kind", T.ByteType()), *[T.StructField(c, T.LongType()) for c in ("row", "a", "b")],
                       T.StructField("x", T.DoubleType()), T.StructField("n", T.LongType()),
                       *[T.StructField(f"n{r}", T.LongType()) for r in range(1, LOW + 1)]])
@@ -90,8 +93,7 @@ class Words:
 
 def _codes(flat: list[bytes], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the different words, and for each word which of these it is."""
-    index = dict.fromkeys(flat)
-    index.update(zip(index, range(len(index))))
+    index: defaultdict[bytes, int] = defaultdict(count().__next__)
     of = np.fromiter(map(index.__getitem__, flat), np.int64, len(flat))
     found = np.fromiter((xxhash.xxh64_intdigest(w) >> 2 for w in index), np.int64, len(index))
     if not len(hashes):
@@ -102,7 +104,7 @@ def _codes(flat: list[bytes], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _split(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     words = [t.translate(LOWER).split() for t in texts]
-    return [w for of in words for w in of], np.fromiter(map(len, words), np.int64, len(words))
+    return list(chain.from_iterable(words)), np.fromiter(map(len, words), np.int64, len(words))
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -181,11 +183,13 @@ class Buckets:
 
 def _planes(column: np.ndarray) -> bytes:
     """The bytes of a column by their place in the number: equal high bytes then take no room."""
-    return column.view(np.uint8).reshape(len(column), -1).T.tobytes()
+    return column.view(np.uint8).reshape(len(column), column.itemsize).T.tobytes()
 
 
 def _unplaned(data: memoryview, n: int, kind: type) -> np.ndarray:
     width = np.dtype(kind).itemsize
+    if not n:
+        return np.empty(0, kind)
     return np.ascontiguousarray(np.frombuffer(data, np.uint8, n * width).reshape(width, n).T).view(kind).ravel()
 
 
@@ -246,8 +250,44 @@ def _packed(buckets: Buckets, a, b, row, held) -> Iterator[pa.RecordBatch]:
     ends = np.append(cuts[1:], len(bucket))
     yield pa.RecordBatch.from_arrays([
         pa.array(bucket[cuts].astype(np.int32)), pa.array(np.full(len(cuts), first)), pa.array((ends - cuts).astype(np.int32)),
-        pa.array([_pack((a[i:j], b[i:j], after[i:j], times[i:j])) for i, j in zip(cuts, ends)], pa.binary())],
-        ["bucket", "first_row", "entries", "block"])
+        pa.array([_pack((a[i:j], b[i:j], after[i:j], times[i:j])) for i, j in zip(cuts, ends)], pa.binary()),
+        pa.array(np.zeros(len(cuts), bool))], ["bucket", "first_row", "entries", "block", "texts"])
+
+
+#: Of texts: row, tokens, known tokens and base score; then of their rare words: row, hash and how often.
+TEXT_LAYOUT = (np.int64, np.int64, np.int64, np.float64)
+WORD_LAYOUT = (np.int64, np.int64, np.int64)
+
+
+def _of_texts(words: Words, rows: np.ndarray, codes: np.ndarray, n: np.ndarray, number: int) -> pa.RecordBatch:
+    """What texts have by themselves, on its way to a bucket that hands it on. Texts are split only once for it and their pairs."""
+    log = np.log10((words.counts + 1) / (words.tokens + words.types + 1))
+    doc, rare = np.repeat(np.arange(len(n)), n), codes >= RARE
+    base = np.bincount(doc, np.where(rare, 0, log[np.where(rare, END, codes)]), len(n)) + log[END]
+    have = np.bincount(doc, ~rare, len(n)).astype(np.int64) + (words.texts > 0)
+    pairs = np.stack([doc[rare], codes[rare] & ~RARE])
+    pairs = pairs[:, np.lexsort(pairs[::-1])]
+    edge = np.flatnonzero(np.append(True, (pairs[:, 1:] != pairs[:, :-1]).any(0))) if pairs.shape[1] else np.empty(0, np.int64)
+    times = np.diff(np.append(edge, pairs.shape[1]))
+    columns = [rows, n + 1, have, base, rows[pairs[0, edge]], pairs[1, edge], times]
+    block = zstandard.ZstdCompressor(level=1).compress(
+        b"".join(_planes(c.astype(kind)) for c, kind in zip(columns, TEXT_LAYOUT + WORD_LAYOUT)))
+    bucket = int(Buckets.mixed(rows[:1])[0]) % number
+    return pa.RecordBatch.from_arrays([
+        pa.array([bucket], pa.int32()), pa.array([len(edge)], pa.int64()), pa.array([len(n)], pa.int32()), pa.array([block], pa.binary()),
+        pa.array([True])], ["bucket", "first_row", "entries", "block", "texts"])
+
+
+def _told_of_texts(block: bytes, texts: int, words: int) -> Iterator[pa.RecordBatch]:
+    data, at, columns = memoryview(zstandard.ZstdDecompressor().decompress(block)), 0, []
+    for kind, size in [*((kind, texts) for kind in TEXT_LAYOUT), *((kind, words) for kind in WORD_LAYOUT)]:
+        columns.append(_unplaned(data[at:], size, kind))
+        at += size * np.dtype(kind).itemsize
+    rows, n, have, base, of, word, times = columns
+    emit = _Rows()
+    emit.add(TEXT, row=rows, x=base, n=n, low=[have])
+    emit.add(RARE_WORD, row=of, a=word, n=times)
+    yield from emit.batches
 
 
 def pair_blocks(rows: DataFrame, known: Broadcast, buckets: Broadcast, at_once: int = 600_000) -> DataFrame:
@@ -256,6 +296,8 @@ def pair_blocks(rows: DataFrame, known: Broadcast, buckets: Broadcast, at_once:
         for batch in slices(batches, "text"):
             flat, n = _split(bytes_of(batch, "text"))
             codes, of = _codes(flat, Words(**known.value).hashes)
+            yield _of_texts(Words(**known.value), batch.column("row").to_numpy(), codes[of] if len(flat) else np.empty(0, np.int64), n,
+                            Buckets(**buckets.value).number)
             ends = np.cumsum(n + 1) - 1
             words = np.zeros(len(flat) + len(n), np.int64)
             inside = np.ones(len(words), bool)
@@ -358,50 +400,19 @@ class _Rows:
 
 def counted(blocks: DataFrame, known: Broadcast, buckets: Broadcast, number: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(first, n, block) for batch in batches for first, n, block in zip(*(
-            batch.column(c).to_pylist() for c in ("first_row", "entries", "block")))]
+        held = []
+        for batch in batches:
+            for first, n, block, texts in zip(*(batch.column(c).to_pylist() for c in ("first_row", "entries", "block", "texts"))):
+                if texts:
+                    yield from _told_of_texts(block, n, first)
+                else:
+                    held.append((first, n, block))
         if held:
             yield from _counted(held, TaskContext.get().partitionId(), Words(**known.value), Buckets(**buckets.value))
 
     return blocks.repartitionById(number, "bucket").mapInArrow(count, FOUND)
 
 
-def _texts(rows: DataFrame, known: Broadcast) -> DataFrame:
-    """(row, key, held, n_tokens, n_known, base) for each text, and (row, h, n) for its rare words."""
-    schema = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in ("row", "key", "held")]).add("n_tokens", "long").add("n_known", "long") \
-        .add("base", "double").add("h", "long").add("n", "long")
-
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(**known.value)
-        log = np.log10((words.counts + 1) / (words.tokens + words.types + 1))
-        for batch in slices(batches, "text"):
-            flat, n = _split(bytes_of(batch, "text"))
-            codes, of = _codes(flat, words.hashes)
-            doc = np.repeat(np.arange(len(n)), n)
-            code = codes[of] if len(flat) else np.empty(0, np.int64)
-            rare = code >= RARE
-            frequent = np.where(rare, END, code)
-            base = np.bincount(doc, np.where(rare, 0, log[frequent]), len(n)) + log[END]
-            have = np.bincount(doc, ~rare, len(n)).astype(np.int64) + (words.texts > 0)
-            key, row = batch.column("key"), batch.column("row")
-            yield pa.RecordBatch.from_arrays(
-                [row, key, batch.column("held"), pa.array(n + 1), pa.array(have), pa.array(base),
-                 pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())], [f.name for f in schema])
-            pairs = np.stack([doc[rare], code[rare] & ~RARE])
-            if pairs.shape[1]:
-                order = np.lexsort(pairs[::-1])
-                pairs = pairs[:, order]
-                edge = np.flatnonzero(np.append(True, (pairs[:, 1:] != pairs[:, :-1]).any(0)))
-                times = np.diff(np.append(edge, pairs.shape[1]))
-                size = len(edge)
-                yield pa.RecordBatch.from_arrays(
-                    [row.take(pa.array(pairs[0, edge])), pa.nulls(size, key.type), pa.nulls(size, pa.bool_()),
-                     pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.float64()),
-                     pa.array(pairs[1, edge]), pa.array(times)], [f.name for f in schema])
-
-    return rows.mapInArrow(look, schema)
-
-
 def _probability(n: Column, known: Words) -> Column:
     """P of a word by its count; null is a word never seen."""
     share = n / float(known.tokens + known.extra)
@@ -413,7 +424,7 @@ def _probability(n: Column, known: Words) -> Column:
 
 def scored(
     df: DataFrame, key: str = "doc_id", text: str = "text", held_out: Column | None = None, head: int = 1 << 18,
-    bucket_tokens: int = 2_000_000,
+    bucket_tokens: int = 1_000_000,
 ) -> DataFrame:
     """One row per row of ``df``: key, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
@@ -457,8 +468,11 @@ def scored(
     of_rare = F.when(F.col("b") >= 0, F.col("times") * F.log10(_probability(F.col("n"), known))).otherwise(F.lit(0.0))
     columns = ["row", "a", "x", F.col("n").alias("times"), F.col("n1").alias("seen"), "b",
                F.when(F.col("b") >= 0, F.col("b").bitwiseAND(F.lit(RARE - 1))).alias("h")]
-    # A context is spread if it comes more than ``limit`` times, so there are few; Spark sees how many.
+    # A context is spread if it comes more than ``limit`` times, so there are at most 4 * number of them: known to be
+    # few enough to broadcast, or left to Spark, which splits what a frequent one is joined to.
     spread = contexts.filter(F.col("total") > limit)
+    if 4 * number <= BROADCAST_ROWS:
+        spread = F.broadcast(spread)
     opened = found.filter(f"kind = {OPEN}").select(*columns).join(contexts, "a", "left").unionByName(
         found.filter(f"kind = {OPEN_SPREAD}").select(*columns).join(spread, "a", "left"))
     opened = opened.join(words, "h", "left").select("row", (
@@ -467,13 +481,14 @@ def scored(
     done = found.filter(f"kind = {DOC}").select("row", (F.col("x") + log_d).alias("x"))
     scores = done.union(opened).groupBy("row").agg(F.sum("x").alias("score"))
 
-    texts = stored(_texts(rows, told), "texts")
+    texts = rows.select("row", "key", "held").join(found.filter(f"kind = {TEXT}").select(
+        "row", F.col("n").alias("n_tokens"), F.col("n1").alias("n_known"), F.col("x").alias("base")), "row")
     log_base = F.log10((F.coalesce("c", F.lit(0)) + 1) / float(known.tokens + known.types + 1))
-    rare = texts.filter("h is not null").select("row", "h", F.col("n").alias("times")) \
+    rare = found.filter(f"kind = {RARE_WORD}").select("row", F.col("a").alias("h"), F.col("n").alias("times")) \
         .join(words.withColumnRenamed("n", "c"), "h", "left").groupBy("row").agg(
             F.sum(F.col("times") * log_base).alias("rare_base"),
             F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"))
-    return texts.filter("h is null").drop("h", "n").join(rare, "row", "left").join(scores, "row", "left").select(
+    return texts.join(rare, "row", "left").join(scores, "row", "left").select(
         F.col("key").alias(key), F.col("held").alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(known.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"), F.coalesce("score", F.lit(0.0)).alias("score"))
